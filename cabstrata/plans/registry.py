@@ -1,8 +1,8 @@
-"""All queries outside the llm subpackage, by name."""
+"""All queries outside the llm subpackage, by name, with their SQL twins."""
 
 from __future__ import annotations
 
-from cabstrata.plans import problems
+from cabstrata.plans import problems, trips, twins
 
-QUERIES = {**problems.QUERIES}
-SQL = {**problems.SQL}
+QUERIES = {**trips.QUERIES, **problems.QUERIES}
+SQL = {**twins.SQL, **problems.SQL}
