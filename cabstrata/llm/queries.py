@@ -16,8 +16,7 @@ def _fused(spark: SparkSession, d: str, prior: str) -> DataFrame:
     rows = load(spark, d, "yellow_tripdata").select(
         "_row_id", "_ingest_batch_id", "_loaded_at", "fare_amount", F.unhex(trip_key()).alias("trip"), filled([*TRIP_IDS, *TRIP_VALUES]).alias("n_filled")
     )
-    prefer = [F.col("_loaded_at"), F.col("_ingest_batch_id"), F.col("n_filled")]
-    return fusion.fuse(rows, "trip", "_ingest_batch_id", "_row_id", prefer, "fare_amount", prior)
+    return fusion.fuse(rows, "trip", "_ingest_batch_id", "_row_id", ["_loaded_at", "_ingest_batch_id", "n_filled"], "fare_amount", prior)
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
