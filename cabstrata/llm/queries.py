@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cabstrata.functions.keys import TRIP_IDS, TRIP_VALUES, filled, trip_key
@@ -28,6 +28,25 @@ def p2_fused(spark: SparkSession, d: str) -> DataFrame:
     return _fused(spark, d, "flat").select("group_row_id", "survivor_row_id", "n_rows", "n_sources", "fused_value", "value_row_id", F.round("probability", 6).alias("probability"))
 
 
+def _by_each(df: DataFrame, measures: dict[str, str], dimensions: dict[str, Column]) -> DataFrame:
+    """The state of every measure by every dimension, (measure, dimension, grp, value, n), in one pass."""
+    cells = [F.struct(F.lit(m).alias("measure"), F.lit(k).alias("dimension"), g.cast("string").alias("grp"), F.col(c).cast("double").alias("v")) for m, c in measures.items() for k, g in dimensions.items()]
+    return percentiles.frequency_state(df.select(F.explode(F.array(*cells)).alias("c")).select("c.*"), ["measure", "dimension", "grp"], "v")
+
+
+def p3_percentiles(spark: SparkSession, d: str) -> DataFrame:
+    """Durations by zone, hour and month; totals and distances by zone, hour, month and load. The states
+    of both tables are put together and read at once."""
+    trips, bronze = load(spark, d, "int_trips_enriched"), load(spark, d, "yellow_tripdata")
+    pick = F.col("tpep_pickup_datetime")
+    a = _by_each(trips, {"trip_duration_min": "trip_duration_min"}, {"zone": F.col("pu_location_id"), "hour": F.col("pickup_hour"), "month": F.date_format("pickup_date", "yyyy-MM")})
+    b = _by_each(
+        bronze, {"total_amount": "total_amount", "trip_distance": "trip_distance"}, {"zone": F.col("PULocationID"), "hour": F.hour(pick), "month": F.substring(pick.cast("string"), 1, 7), "load": F.col("_ingest_batch_id")}
+    )
+    groups = ["measure", "dimension", "grp"]
+    return percentiles.percentiles(percentiles.merge_states(a.unionByName(b), groups), groups, QUANTILES)
+
+
 def p3_duration_by_zone(spark: SparkSession, d: str) -> DataFrame:
     state = percentiles.frequency_state(load(spark, d, "int_trips_enriched"), ["pu_location_id"], "trip_duration_min")
     return percentiles.percentiles(state, ["pu_location_id"], QUANTILES)
@@ -85,12 +104,19 @@ def p10_classes(spark: SparkSession, d: str) -> DataFrame:
     return lookalike.document_classes(_forms(spark, d), "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_fused, p3_duration_by_zone, p3_total_by_load, p3_distance_by_month, p3_duration_by_hour_rounded, p8_ids, p9_selection, p9_report, p10_found, p10_canonical, p10_classes)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_fused, p3_percentiles, p3_duration_by_zone, p3_total_by_load, p3_distance_by_month, p3_duration_by_hour_rounded, p8_ids, p9_selection, p9_report, p10_found, p10_canonical, p10_classes)}
 
 _IDS = ", ".join(TRIP_IDS)
 _ORDER = "_loaded_at DESC NULLS LAST, _ingest_batch_id DESC NULLS LAST, " + " + ".join(f"({c} IS NOT NULL)::INT" for c in [*TRIP_IDS, *TRIP_VALUES]) + " DESC, _row_id"
 
 
+def _each_twin() -> str:
+    parts = [("int_trips_enriched", "trip_duration_min", k, g) for k, g in (("zone", "pu_location_id"), ("hour", "pickup_hour"), ("month", "strftime(pickup_date, '%Y-%m')"))]
+    dims = (("zone", "PULocationID"), ("hour", "hour(tpep_pickup_datetime)"), ("month", "strftime(tpep_pickup_datetime, '%Y-%m')"), ("load", "_ingest_batch_id"))
+    parts += [("yellow_tripdata", m, k, g) for m in ("total_amount", "trip_distance") for k, g in dims]
+    return " UNION ALL ".join(f"SELECT '{m}' AS measure, '{k}' AS dimension, g AS grp, n_values, n_null, {', '.join(f'{q}::DOUBLE AS {q}' for q in QUANTILES)}, error_bound FROM ({_percentile_twin(t, f'({g})::VARCHAR', 'g', m)})" for t, m, k, g in parts)
+
+
 def _percentile_twin(table: str, group: str, alias: str, value: str, bound: str = "0.0::DOUBLE") -> str:
     picks = ", ".join(f"min(v) FILTER (WHERE r >= greatest(1, ceil({q} * n))) AS {name}" for name, q in QUANTILES.items())
     return f"""WITH x AS (SELECT {group} AS g, {value} AS v FROM {table}),
@@ -105,6 +131,7 @@ SQL = {
 WITH k AS (SELECT _row_id, fare_amount, {_IDS}, row_number() OVER (PARTITION BY {_IDS} ORDER BY {_ORDER}) r FROM yellow_tripdata)
 SELECT min(_row_id) AS group_row_id, arg_min(_row_id, r) AS survivor_row_id, coalesce(arg_min(_row_id, r) FILTER (WHERE fare_amount IS NOT NULL), -1) AS fare_row_id
 FROM k GROUP BY {_IDS} HAVING count(*) >= 2""",
+    "p3_percentiles": _each_twin(),
     "p3_duration_by_zone": _percentile_twin("int_trips_enriched", "pu_location_id", "pu_location_id", "trip_duration_min"),
     "p3_total_by_load": _percentile_twin("yellow_tripdata", "_ingest_batch_id", "_ingest_batch_id", "total_amount"),
     "p3_distance_by_month": _percentile_twin("yellow_tripdata", "strftime(tpep_pickup_datetime, '%Y-%m')", "month", "trip_distance"),
