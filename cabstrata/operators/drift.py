@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cabstrata.operators.sizing import lookup_join
+
 # Catalog types and the Spark types they stand for.
 CATALOG_TYPES = {"int64": "bigint", "int32": "int", "double": "double", "float": "float", "string": "string", "boolean": "boolean", "timestamp": "timestamp_ntz"}
 # Formats in which timestamps arrive; the first is the standard.
@@ -36,7 +38,8 @@ def resolve_fields(columns: DataFrame, catalog: DataFrame) -> DataFrame:
         "filename", "ordinal", "column_name", "data_type", bare_field(F.col("column_name")).alias("bare"),
         F.regexp_extract(name, r"_(\d{4}-\d{2})_", 1).alias("month"), F.regexp_replace(name, r"_\d{4}-\d{2}_", "_").alias("series"),
     )
-    j = c.where("month != ''").join(known_names(catalog), "bare", "left").withColumn("field_name", F.coalesce("field_name", "column_name"))
+    once = c.where("month != ''").groupBy("filename", "column_name", "data_type", "bare", "month", "series").agg(F.min("ordinal").alias("ordinal"))
+    j = lookup_join(once, known_names(catalog), ["bare"], salt_on=["filename"], how="left").withColumn("field_name", F.coalesce("field_name", "column_name"))
     one = j.groupBy("filename", "series", "month", "field_name").agg(F.min(F.struct("ordinal", "column_name", "data_type")).alias("c"))
     return one.select("filename", "series", "month", "field_name", "c.column_name", "c.data_type")
 
@@ -89,28 +92,26 @@ class Schema:
         return Schema(self.types | (types or {}), self.names | bare, [*self.formats, *(formats or [])])
 
 
-def _named(bares: list[str]) -> Column:
-    """The non-null entries of _keyed that go by one of the bare names, in their order."""
-    return F.filter("_keyed", lambda e: e["b"].isin(bares) & e["v"].isNotNull())
-
-
 def _fill(df: DataFrame, schema: Schema, have: set[str]) -> DataFrame:
     """Moves what fits from the map _rest into typed columns. A field that has a value keeps it; what
-    doesn't find a place stays in _rest."""
-    keyed = F.transform(F.map_entries("_rest"), lambda e: F.struct(bare_field(e["key"]).alias("b"), e["key"].alias("k"), e["value"].alias("v")))
-    df = df.withColumn("_keyed", keyed)
-    cols, used = {}, []
-    for field, kind in schema.types.items():
-        bares = [b for b, f in schema.names.items() if f == field]
-        first = F.get(_named(bares), F.lit(0))
-        value = typed(first["v"], kind, schema.formats)
-        old = F.col(f"`{field}`") if field in have else F.lit(None).cast(CATALOG_TYPES[kind])
-        cols[field] = F.coalesce(old, value)
-        used.append(F.when(old.isNull() & value.isNotNull(), first["k"]))
-    df = df.withColumn("_used", F.array_compact(F.array(*used))).withColumns({k: v for k, v in cols.items()})
-    nulls_of_known = F.array(*[F.lit(b) for b in schema.names])
-    rest = F.map_from_entries(F.transform(F.filter("_keyed", lambda e: ~F.array_contains("_used", e["k"]) & ~(e["v"].isNull() & F.array_contains(nulls_of_known, e["b"]))), lambda e: F.struct(e["k"], e["v"])))
-    return df.withColumn("_rest", rest).drop("_keyed", "_used")
+    doesn't find a place stays in _rest, and so do nulls of fields that the schema doesn't know.
+
+    Names are generalised once per row; a field then is a native search in the array of names."""
+    df = df.withColumn("_all", F.transform(F.map_entries("_rest"), lambda e: F.struct(e["key"].alias("k"), e["value"].alias("v"), bare_field(e["key"]).alias("b"))))
+    df = df.withColumn("_told", F.filter("_all", lambda e: e["v"].isNotNull())).withColumns({"_names": F.col("_told.b"), "_texts": F.col("_told.v")})
+    places = {}
+    for i, field in enumerate(schema.types):
+        at = [F.nullif(F.array_position("_names", b), F.lit(0)) for b, f in sorted(schema.names.items()) if f == field]
+        places[f"_at{i}"] = F.coalesce(*at) if at else F.lit(None).cast("bigint")
+    df = df.withColumns(places)
+    df = df.withColumns({f"_new{i}": typed(F.get("_texts", (F.col(f"_at{i}") - 1).cast("int")), kind, schema.formats) for i, kind in enumerate(schema.types.values())})
+    old = [F.col(f"`{f}`") if f in have else F.lit(None).cast(CATALOG_TYPES[k]) for f, k in schema.types.items()]
+    used = F.array_compact(F.array(*[F.when(o.isNull() & F.col(f"_new{i}").isNotNull(), F.col(f"_at{i}")) for i, o in enumerate(old)]))
+    df = df.withColumn("_used", used).withColumns({f: F.coalesce(o, F.col(f"_new{i}")) for i, (f, o) in enumerate(zip(schema.types, old, strict=True))})
+    known = F.array(*[F.lit(b) for b in sorted(schema.names)])
+    kept = F.filter("_told", lambda e, i: ~F.array_contains("_used", (i + 1).cast("bigint")))
+    nulls = F.filter("_all", lambda e: e["v"].isNull() & ~F.array_contains(known, e["b"]))
+    return df.withColumn("_rest", F.map_from_entries(F.transform(F.concat(kept, nulls), lambda e: F.struct(e["k"], e["v"]))))
 
 
 def ingest(records: DataFrame, schema: Schema) -> DataFrame:
