@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cabstrata.session import materialize
+
 _FROM = "0123456789" + "abcdefghijklmnopqrstuvwxyz" + "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _TO = "9" * 10 + "a" * 26 + "A" * 26
 
@@ -18,14 +20,18 @@ _TO = "9" * 10 + "a" * 26 + "A" * 26
 def canonical_text(c: Column, dtype: str) -> Column:
     """A number's text without trailing zeros after the point; any other value's text."""
     t = c.cast("string")
-    if dtype.startswith("decimal") or dtype in ("double", "float"):
-        return F.regexp_replace(F.regexp_replace(t, r"(\.\d*?)0+$", "$1"), r"\.$", "")
+    short = F.rtrim(F.rtrim(t, F.lit("0")), F.lit("."))
+    if dtype.startswith("decimal"):
+        return t if dtype.endswith(",0)") else short
+    if dtype in ("double", "float"):
+        return F.when(F.contains(t, F.lit("E")) | ~F.contains(t, F.lit(".")), t).otherwise(short)
     return t
 
 
 def mask(text: Column) -> Column:
     """The character-class mask; letters outside ASCII become a as well."""
-    return F.regexp_replace(F.translate(text, _FROM, _TO), r"[^\x00-\x7F]", "a")
+    plain = F.translate(text, _FROM, _TO)
+    return F.when(F.octet_length(text) == F.length(text), plain).otherwise(F.regexp_replace(plain, r"[^\x00-\x7F]", "a"))
 
 
 def unpivot_texts(df: DataFrame, load: str, loader: str, columns: list[str]) -> DataFrame:
@@ -44,9 +50,10 @@ def load_sequence(counts: DataFrame) -> DataFrame:
 
 
 def value_counts(df: DataFrame, load: str, loader: str, columns: list[str]) -> DataFrame:
-    """(batch_id, loader, column_name, value, mask, n): the mergeable state of a profile."""
+    """(batch_id, loader, column_name, value, mask, n): the mergeable state of a profile. It is read several
+    times over, so it is written once to the shared folder."""
     g = unpivot_texts(df, load, loader, columns).groupBy("batch_id", "loader", "column_name", "value").agg(F.count(F.lit(1)).alias("n"))
-    return g.withColumn("mask", mask(F.col("value")))
+    return materialize(g.withColumn("mask", mask(F.col("value"))), "value-counts")
 
 
 def divergence(counts: DataFrame, item: str, seq: DataFrame) -> DataFrame:
@@ -109,6 +116,7 @@ def mask_profile(df: DataFrame, load: str, loader: str, columns: list[str], rare
     text), the number of masks, the share of rare masks and the mask divergence from the load before.
     Masks are taken before anything is shuffled."""
     g = unpivot_texts(df, load, loader, columns).withColumn("mask", mask(F.col("value"))).groupBy("batch_id", "loader", "column_name", "mask").agg(F.count(F.lit(1)).alias("n"))
+    g = materialize(g, "mask-counts")
     per = g.groupBy("batch_id", "column_name", "mask").agg(F.sum("n").alias("n"))
     overall = per.where("mask is not null").groupBy("column_name", "mask").agg(F.sum("n").alias("m"))
     overall = overall.withColumn("rare", F.col("m") <= F.lit(rare) * F.sum("m").over(Window.partitionBy("column_name"))).select("column_name", "mask", "rare")
