@@ -8,6 +8,8 @@ load and the one before its drift. Columns with small domains get the same from
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -104,7 +106,7 @@ def load_issues(profile: DataFrame, unaccepted: float = 0.03, null_change: float
     known = F.col("n_rows") - F.col("n_null")
     nulls = F.abs(F.col("n_null") / F.col("n_rows") - F.col("prev_null_share")) > null_change
     found = F.array_compact(F.array(
-        F.when(F.col("n_unaccepted") > known * F.lit(unaccepted), F.lit("values")),
+        F.when(F.col("n_unaccepted") > known.cast("decimal(20,0)") * F.lit(Decimal(str(unaccepted))), F.lit("values")),
         F.when(nulls, F.lit("nulls")),
         F.when(F.col("prev_batch").isNotNull() & (F.col("value_divergence") > shift), F.lit("shift")),
     ))

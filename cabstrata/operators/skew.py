@@ -8,6 +8,8 @@ rows therefore decides only how much a task folds into its own hash map, never w
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -56,4 +58,4 @@ def heavy_keys(states: DataFrame, key: str, weight: str, share: float) -> DataFr
     """The keys with more than `share` of all weight, from states of one row per key. A null key
     counts in the total and isn't a key."""
     total = states.select(F.sum(weight).alias("t")).scalar()
-    return states.where(F.col(key).isNotNull() & (F.col(weight) > total * F.lit(share))).select(key)
+    return states.where(F.col(key).isNotNull() & (F.col(weight) > total.cast("decimal(20,0)") * F.lit(Decimal(str(share))))).select(key)
