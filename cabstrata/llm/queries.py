@@ -126,6 +126,10 @@ SELECT s.g AS {alias}, n_values, n_null, {", ".join(QUANTILES)}, {bound} AS erro
 FROM (SELECT g, count(*) FILTER (WHERE v IS NOT NULL AND NOT isnan(v::DOUBLE)) n_values, count(*) FILTER (WHERE v IS NULL OR isnan(v::DOUBLE)) n_null FROM x GROUP BY g) s LEFT JOIN z ON z.g IS NOT DISTINCT FROM s.g"""
 
 
+# The canonical form is the operator's own SQL; its meaning is tested on fixed texts. The twins check what is built on it.
+_LOOKS = f"""WITH c AS (SELECT doc_id, text, {lookalike.canonical_sql("text")} AS canonical FROM documents),
+k AS (SELECT doc_id, text, CASE WHEN trim(canonical, ' ' || chr(10) || chr(11) || chr(12)) <> '' THEN canonical END AS form FROM c)"""
+
 SQL = {
     "p2_found": f"""
 WITH k AS (SELECT _row_id, fare_amount, {_IDS}, row_number() OVER (PARTITION BY {_IDS} ORDER BY {_ORDER}) r FROM yellow_tripdata)
@@ -136,4 +140,7 @@ FROM k GROUP BY {_IDS} HAVING count(*) >= 2""",
     "p3_total_by_load": _percentile_twin("yellow_tripdata", "_ingest_batch_id", "_ingest_batch_id", "total_amount"),
     "p3_distance_by_month": _percentile_twin("yellow_tripdata", "strftime(tpep_pickup_datetime, '%Y-%m')", "month", "trip_distance"),
     "p3_duration_by_hour_rounded": _percentile_twin("int_trips_enriched", "pickup_hour", "pickup_hour", "floor(trip_duration_min / 0.1::DOUBLE) * 0.1::DOUBLE + 0.05::DOUBLE", "0.05::DOUBLE"),
+    "p10_found": f"{_LOOKS} SELECT a.doc_id AS doc_id_a, b.doc_id AS doc_id_b FROM k a JOIN k b ON a.form = b.form AND a.doc_id < b.doc_id AND a.text <> b.text",
+    "p10_canonical": f"{_LOOKS} SELECT doc_id, canonical FROM c",
+    "p10_classes": f"{_LOOKS} SELECT doc_id, CASE WHEN form IS NOT NULL THEN min(doc_id) OVER (PARTITION BY form) END AS class_id FROM k",
 }
