@@ -17,6 +17,8 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cabstrata.session import materialize
+
 RANGES = 32
 
 
@@ -60,8 +62,10 @@ def percentiles(state: DataFrame, groups: list[str], quantiles: dict[str, str],
     """(groups, n_values, n_null, <name> of each quantile, error_bound); quantiles: name -> decimal text.
 
     The result of q among n values is the value at rank max(1, ceil(q * n)). A group without values
-    has null percentiles; a null group is a group; an empty state gives no rows.
+    has null percentiles; a null group is a group; an empty state gives no rows. The state is read for
+    the cut points, the ranks and the sizes, so it is written once to the shared folder.
     """
+    state = materialize(state, "frequencies")
     known = state.where("value is not null")
     placed = known.withColumn("_range", range_number(F.col("value"), cut_points(state, ranges)))
     running = placed.withColumn("_run", F.sum("n").over(Window.partitionBy(*groups, "_range").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)))
