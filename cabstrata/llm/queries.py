@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cabstrata.functions.keys import TRIP_IDS, TRIP_VALUES, filled, trip_key
 from cabstrata.llm import fusion, lookalike, mixing, percentiles, tokens
+from cabstrata.operators.sizing import lookup_join
 from cabstrata.session import load
 
 QUANTILES = {"p50": "0.5", "p90": "0.9", "p99": "0.99"}
@@ -28,6 +29,15 @@ def p2_fused(spark: SparkSession, d: str) -> DataFrame:
     return _fused(spark, d, "flat").select("group_row_id", "survivor_row_id", "n_rows", "n_sources", "fused_value", "value_row_id", F.round("probability", 6).alias("probability"))
 
 
+def p2_survivors(spark: SparkSession, d: str) -> DataFrame:
+    """Every trip once: the preferred row, its fare filled from the copies where it has none. The trips'
+    choices are looked up by the rows, salted, so that a trip of any size is spread over tasks."""
+    chosen = _fused(spark, d, "ordered").select("grp", "survivor_row_id", "fused_value")
+    rows = load(spark, d, "yellow_tripdata").withColumn("grp", F.unhex(trip_key()))
+    one = lookup_join(rows, chosen, ["grp"], salt_on=["_row_id"], how="left", salts=8).where("survivor_row_id is null or survivor_row_id = _row_id")
+    return one.select("_row_id", *TRIP_IDS, *[F.coalesce("fare_amount", "fused_value").alias(c) if c == "fare_amount" else c for c in TRIP_VALUES], "_source_filename", "_ingest_batch_id", "_loaded_at")
+
+
 def _by_each(df: DataFrame, measures: dict[str, str], dimensions: dict[str, Column]) -> DataFrame:
     """The state of every measure by every dimension, (measure, dimension, grp, value, n), in one pass."""
     cells = [F.struct(F.lit(m).alias("measure"), F.lit(k).alias("dimension"), g.cast("string").alias("grp"), F.col(c).cast("double").alias("v")) for m, c in measures.items() for k, g in dimensions.items()]
@@ -104,7 +114,7 @@ def p10_classes(spark: SparkSession, d: str) -> DataFrame:
     return lookalike.document_classes(_forms(spark, d), "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_fused, p3_percentiles, p3_duration_by_zone, p3_total_by_load, p3_distance_by_month, p3_duration_by_hour_rounded, p8_ids, p9_selection, p9_report, p10_found, p10_canonical, p10_classes)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_fused, p2_survivors, p3_percentiles, p3_duration_by_zone, p3_total_by_load, p3_distance_by_month, p3_duration_by_hour_rounded, p8_ids, p9_selection, p9_report, p10_found, p10_canonical, p10_classes)}
 
 _IDS = ", ".join(TRIP_IDS)
 _ORDER = "_loaded_at DESC NULLS LAST, _ingest_batch_id DESC NULLS LAST, " + " + ".join(f"({c} IS NOT NULL)::INT" for c in [*TRIP_IDS, *TRIP_VALUES]) + " DESC, _row_id"
@@ -135,6 +145,8 @@ SQL = {
 WITH k AS (SELECT _row_id, fare_amount, {_IDS}, row_number() OVER (PARTITION BY {_IDS} ORDER BY {_ORDER}) r FROM yellow_tripdata)
 SELECT min(_row_id) AS group_row_id, arg_min(_row_id, r) AS survivor_row_id, coalesce(arg_min(_row_id, r) FILTER (WHERE fare_amount IS NOT NULL), -1) AS fare_row_id
 FROM k GROUP BY {_IDS} HAVING count(*) >= 2""",
+    "p2_survivors": f"""SELECT _row_id, {_IDS}, {", ".join(f"coalesce(fare_amount, first_value(fare_amount IGNORE NULLS) OVER (PARTITION BY {_IDS} ORDER BY {_ORDER} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS fare_amount" if c == "fare_amount" else c for c in TRIP_VALUES)},
+_source_filename, _ingest_batch_id, _loaded_at FROM yellow_tripdata QUALIFY row_number() OVER (PARTITION BY {_IDS} ORDER BY {_ORDER}) = 1""",
     "p3_percentiles": _each_twin(),
     "p3_duration_by_zone": _percentile_twin("int_trips_enriched", "pu_location_id", "pu_location_id", "trip_duration_min"),
     "p3_total_by_load": _percentile_twin("yellow_tripdata", "_ingest_batch_id", "_ingest_batch_id", "total_amount"),
