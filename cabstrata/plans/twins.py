@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-YEAR = 2025
+YEAR, REVENUE_YEAR = 2025, 2024
 IDS = "VendorID, tpep_pickup_datetime, tpep_dropoff_datetime, PULocationID, DOLocationID"
 CHECKED = "fare_amount, total_amount, payment_type, passenger_count, trip_distance, extra, mta_tax, tip_amount, tolls_amount, improvement_surcharge, congestion_surcharge, airport_fee, cbd_congestion_fee, store_and_fwd_flag, RatecodeID"
 BK = "md5(concat_ws('-', coalesce(VendorID::VARCHAR, '_null_'), coalesce(strftime(tpep_pickup_datetime, '%Y-%m-%d %H:%M:%S'), '_null_'), coalesce(strftime(tpep_dropoff_datetime, '%Y-%m-%d %H:%M:%S'), '_null_'), coalesce(PULocationID::VARCHAR, '_null_'), coalesce(DOLocationID::VARCHAR, '_null_')))"
@@ -106,7 +106,7 @@ TDAY = f"""td AS (SELECT pickup_date, pu_location_id, {BUCKET} AS distance_bucke
 SQL = {
     "zone_revenue_monthly": f"{FACT}, {ZM} SELECT * FROM zm",
     "zone_revenue_yearly": f"{FACT}, {ZM}, {ZY} SELECT * FROM zy",
-    "zone_revenue_rank_shift": f"""{FACT}, {ZM}, {ZY}, x AS (SELECT zm.*, lag(revenue_rank_in_month) OVER (PARTITION BY pu_location_id ORDER BY pickup_year, pickup_month) AS p FROM zm WHERE pickup_year = {YEAR})
+    "zone_revenue_rank_shift": f"""{FACT}, {ZM}, {ZY}, x AS (SELECT zm.*, lag(revenue_rank_in_month) OVER (PARTITION BY pu_location_id ORDER BY pickup_year, pickup_month) AS p FROM zm WHERE pickup_year = {REVENUE_YEAR})
 SELECT x.pickup_year, x.pickup_month, x.pu_location_id, x.pu_borough, x.pu_zone, x.trip_count, {rnd("x.gross_revenue", 2)} AS gross_revenue_usd, revenue_rank_in_month, p AS prev_month_rank, coalesce(p - revenue_rank_in_month, 0)::BIGINT AS rank_change_vs_prev_month,
 {rnd("yearly_gross_revenue", 2)} AS yearly_gross_revenue_usd, yearly_revenue_rank FROM x JOIN zy ON zy.pickup_year = x.pickup_year AND zy.pu_location_id = x.pu_location_id WHERE revenue_rank_in_month <= 20""",
     "hourly_demand_monthly": f"{FACT}, {HM} SELECT * FROM hm",
