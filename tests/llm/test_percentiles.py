@@ -27,7 +27,7 @@ def collected(df, groups=("g",)):
 row = st.tuples(st.sampled_from(["a", "b", None]), st.integers(0, 2), st.one_of(st.none(), st.just(float("nan")), st.integers(-3, 9).map(lambda i: i / 4)))
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(row, max_size=30))
 def test_equals_sorting_and_parts_add_up(spark, rows):
     df = spark.createDataFrame(rows, SCHEMA).withColumns({"n": F.lit("clash"), "value": F.lit(0)})
