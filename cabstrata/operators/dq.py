@@ -5,14 +5,40 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cabstrata.functions.scalars import over
 
 
+# Conditions on single rows: one pass over a table answers all of them (see run_checks).
+
+
+def is_missing(column: str) -> Column:
+    return F.col(column).isNull()
+
+
+def is_unaccepted(column: str, values: list) -> Column:
+    """Another value; null passes."""
+    return ~F.col(column).isin(values)
+
+
+def is_outside(column: str, low=None, high=None) -> Column:
+    """Outside [low, high]; null passes."""
+    c = F.col(column)
+    bad = [c < low] if low is not None else []
+    bad += [c > high] if high is not None else []
+    return reduce(lambda a, b: a | b, bad, F.lit(False))
+
+
+def is_insane_duration(column: str, most: float) -> Column:
+    """Null, not positive or above `most`."""
+    c = F.col(column)
+    return c.isNull() | (c <= 0) | (c > most)
+
+
 def not_null(df: DataFrame, column: str) -> DataFrame:
-    return df.where(F.col(column).isNull())
+    return df.where(is_missing(column))
 
 
 def unique(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -22,8 +48,7 @@ def unique(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def accepted_values(df: DataFrame, column: str, values: list) -> DataFrame:
-    """Rows with another value; nulls pass."""
-    return df.where(~F.col(column).isin(values))
+    return df.where(is_unaccepted(column, values))
 
 
 def relationships(child: DataFrame, column: str, parent: DataFrame, key: str) -> DataFrame:
@@ -33,23 +58,18 @@ def relationships(child: DataFrame, column: str, parent: DataFrame, key: str) ->
 
 
 def in_range(df: DataFrame, column: str, low=None, high=None, only: str = "true") -> DataFrame:
-    """Rows of those that satisfy `only` whose value lies outside [low, high]; nulls pass."""
-    c = F.col(column)
-    bad = [c < low] if low is not None else []
-    bad += [c > high] if high is not None else []
-    return df.where(F.expr(only)).where(reduce(lambda a, b: a | b, bad, F.lit(False)))
+    """Rows of those that satisfy `only` whose value lies outside [low, high]."""
+    return df.where(F.expr(only)).where(is_outside(column, low, high))
 
 
 def duration_sane(df: DataFrame, column: str, most: float, only: str = "true") -> DataFrame:
-    """Rows whose duration is null, not positive or above `most`."""
-    c = F.col(column)
-    return df.where(F.expr(only)).where(c.isNull() | (c <= 0) | (c > most))
+    return df.where(F.expr(only)).where(is_insane_duration(column, most))
 
 
-def period_counts(df: DataFrame, period: list[str], tolerance: float = 0.4, least: int = 10_000) -> DataFrame:
-    """Periods whose number of rows differs from the one before by more than tolerance, where both have
-    at least `least` rows."""
-    n = df.groupBy(*period).agg(F.count(F.lit(1)).alias("trip_count"))
+def period_counts(df: DataFrame, period: list[str], tolerance: float = 0.4, least: int = 10_000, weight: str | None = None) -> DataFrame:
+    """Periods whose number of rows (or sum of weight, in a table of counts) differs from the one before
+    by more than tolerance, where both have at least `least` rows."""
+    n = df.groupBy(*period).agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("trip_count"))
     p = n.withColumn("prev_trip_count", F.lag("trip_count").over(Window.partitionBy(F.lit(0)).orderBy(*period)))
     change = over(F.abs(F.col("trip_count") - F.col("prev_trip_count")).cast("double"), F.col("prev_trip_count").cast("double"))
     return p.where((F.col("trip_count") >= least) & (F.col("prev_trip_count") >= least)).withColumn("pct_change", change).where(F.col("pct_change") > tolerance)
@@ -85,7 +105,25 @@ class Check:
     severity: str = "error"
 
 
-def run_checks(checks: list[Check], tables: dict[str, DataFrame]) -> list[tuple[str, str, int]]:
-    """(name, severity, offending rows) of the checks that found any, errors first."""
-    found = [(c.name, c.severity, c.run(tables).count()) for c in checks]
+@dataclass(frozen=True)
+class RowCheck:
+    """A named test of single rows of a table: bad is the condition that none may satisfy."""
+
+    name: str
+    table: str
+    bad: Column
+    severity: str = "error"
+
+
+def run_checks(checks: list[Check | RowCheck], tables: dict[str, DataFrame]) -> list[tuple[str, str, int]]:
+    """(name, severity, offending rows) of the checks that found any, errors first. The row checks of a
+    table are counted in one pass over it."""
+    found = [(c.name, c.severity, c.run(tables).count()) for c in checks if isinstance(c, Check)]
+    by_table: dict[str, list[RowCheck]] = {}
+    for c in checks:
+        if isinstance(c, RowCheck):
+            by_table.setdefault(c.table, []).append(c)
+    for t, own in by_table.items():
+        n = tables[t].agg(*[F.count_if(F.coalesce(c.bad, F.lit(False))).alias(f"n{i}") for i, c in enumerate(own)]).head()
+        found += [(c.name, c.severity, n[i]) for i, c in enumerate(own)]
     return sorted([f for f in found if f[2]], key=lambda f: (f[1] != "error", f[0]))

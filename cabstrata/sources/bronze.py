@@ -48,21 +48,39 @@ def empty_bronze(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], ", ".join(f"`{c}` {t}" for c, t in [*SOURCE, *LOADED]))
 
 
-def read_files(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """All readable files of the list, each by its own types; missing or broken ones are passed over.
-    None at all is an error."""
-    frames = []
+def _missing_or_broken(e: Exception) -> bool:
+    """Whether the failure is one of the file, not of the query."""
+    if isinstance(e, AnalysisException):
+        return e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+    return any(x in str(e) for x in ("not a Parquet file", "CANNOT_READ_FILE_FOOTER", "FAILED_READ_FILE"))
+
+
+def union_files(frames: list[DataFrame]) -> DataFrame:
+    return reduce(lambda a, b: a.unionByName(b), frames)
+
+
+def read_all(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """All files of the list, each by its own types. A missing or broken one is an error, raised before
+    anything is written."""
+    if not paths:
+        raise FileNotFoundError("no files to read")
+    return union_files([read_file(spark, p) for p in paths])
+
+
+def read_present(spark: SparkSession, paths: list[str]) -> tuple[DataFrame, list[tuple[str, str]]]:
+    """What can be read of the list, and (path, reason) of every file that is missing or broken. None at
+    all is an error."""
+    frames, skipped = [], []
     for p in paths:
         try:
             frames.append(read_file(spark, p))
-        except AnalysisException:
-            continue
         except Exception as e:
-            if "not a Parquet file" not in str(e) and "CANNOT_READ_FILE_FOOTER" not in str(e) and "FAILED_READ_FILE" not in str(e):
+            if not _missing_or_broken(e):
                 raise
+            skipped.append((p, str(e).splitlines()[0]))
     if not frames:
-        raise FileNotFoundError(f"none of {len(paths)} files can be read")
-    return reduce(lambda a, b: a.unionByName(b), frames)
+        raise FileNotFoundError(f"none of {len(paths)} files can be read: {skipped}")
+    return union_files(frames), skipped
 
 
 def read_zones(spark: SparkSession, path: str) -> DataFrame:

@@ -31,7 +31,8 @@ class Month:
 
 
 def months_of_year(year: int) -> list[Month]:
-    return [Month(year, m) for m in range(1, 13)]
+    first = Month(year, 1)
+    return [first.plus(i) for i in range(12)]
 
 
 def parse_months(text: str) -> list[Month]:

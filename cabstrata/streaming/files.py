@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,13 +17,29 @@ def stream_files(spark: SparkSession, folder: str, files_per_batch: int = 16) ->
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(folder).select("*", F.col("_metadata.file_name").alias("_source_filename"))
 
 
+def checkpoint_id(spark: SparkSession, checkpoint: str) -> str | None:
+    """The id that Spark gave the stream of this checkpoint; a new or lost checkpoint has another."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/metadata")
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return None
+    s = fs.open(p)
+    try:
+        return json.loads(bytes(s.readAllBytes()).decode())["id"]
+    finally:
+        s.close()
+
+
 def append_available(spark: SparkSession, lake: Lake, schema: str, table: str, folder: str, checkpoint: str, loaded_by: str = "stream") -> int:
-    """Appends every file that isn't in the table yet, then stops; returns the number of batches. A batch
-    that is run again after a failure is recognised by its id and written once."""
+    """Appends every file that this checkpoint hasn't seen yet, then stops; returns the number of batches.
+
+    A batch is known by its stream's id (of the checkpoint) and its number: one that is run again after a
+    failure is written once, and streams of other folders or checkpoints never pass for it. A lost
+    checkpoint reads its folder again from the start, as a new stream."""
     done = []
 
     def write(df: DataFrame, epoch: int) -> None:
-        batch = f"stream-{epoch:09d}"
+        batch = f"stream-{checkpoint_id(spark, checkpoint)}-{epoch:09d}"
         if lake.exists(schema, table) and lake.read(schema, table).where(F.col("_ingest_batch_id") == batch).head(1):
             return
         lake.append(schema, table, df.select("*", F.lit(batch).alias("_ingest_batch_id"), F.lit(loaded_by).alias("_loaded_by"), F.current_timestamp().alias("_loaded_at")))
