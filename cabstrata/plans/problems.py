@@ -82,15 +82,33 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return drift.schema_changes(load(spark, d, "raw_file_columns"), load(spark, d, "field_catalog"))
 
 
-def p7_records(spark: SparkSession, d: str) -> DataFrame:
-    """All raw records as one typed table. Dates in a further format are first rescued, then replayed once
-    that format is approved; fields the catalog doesn't know stay rescued."""
+def p7_unplaced(spark: SparkSession, d: str) -> DataFrame:
+    """Files that the report of changes can't place, as their names say no month."""
+    return drift.unplaced_files(load(spark, d, "raw_file_columns"))
+
+
+#: What is approved after the first reading: a further format of dates, and two new fields.
+APPROVED = {"formats": ["MM/dd/yyyy HH:mm:ss"], "types": {"meter_serial": "string", "ehail_share": "double"}, "names": {"meter_serial": "meter_serial", "ehail_share": "ehail_share"}}
+
+
+def _records(spark: SparkSession, d: str) -> tuple[DataFrame, drift.Schema]:
     schema = drift.Schema.of(load(spark, d, "field_catalog"))
-    first = drift.ingest(load(spark, d, "raw_trip_records"), schema)
-    return drift.replay(first, schema.with_approved(formats=["MM/dd/yyyy HH:mm:ss"]))
+    approved = schema.with_approved(**APPROVED)
+    return drift.replay(drift.ingest(load(spark, d, "raw_trip_records"), schema), approved), approved
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_zone_totals, p1_zone_flow, p4_found, p4_load_profile, p4_mask_profile, p4_ranges, p5_found, p6_found, p6_fare_history, p7_found, p7_records)}
+def p7_records(spark: SparkSession, d: str) -> DataFrame:
+    """All raw records as one typed table. Dates in a further format and two unknown fields are first
+    rescued, then replayed once they are approved; the other unknown fields stay rescued."""
+    return _records(spark, d)[0]
+
+
+def p7_rescued(spark: SparkSession, d: str) -> DataFrame:
+    """What stays in the rescue column of each file after that, and why."""
+    return drift.rescued_report(*_records(spark, d))
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_zone_totals, p1_zone_flow, p4_found, p4_load_profile, p4_mask_profile, p4_ranges, p5_found, p6_found, p6_fare_history, p7_found, p7_unplaced, p7_records, p7_rescued)}
 
 _IDS = "VendorID, tpep_pickup_datetime, tpep_dropoff_datetime, PULocationID, DOLocationID"
 _VALUES = "passenger_count, trip_distance, RatecodeID, store_and_fwd_flag, payment_type, fare_amount, extra, mta_tax, tip_amount, tolls_amount, improvement_surcharge, total_amount, congestion_surcharge, airport_fee, cbd_congestion_fee"
@@ -113,6 +131,27 @@ div AS (SELECT coalesce(cur.b, old.b) b, coalesce(cur.c, old.c) c, sum(abs(coale
   FROM cur FULL JOIN old ON cur.b = old.b AND cur.c = old.c AND cur.v = old.v GROUP BY 1, 2)
 """
 
+# The catalog's fields with their types, in the order of their names, and the approved ones.
+_FIELDS = {
+    "DOLocationID": "int64", "PULocationID": "int64", "RatecodeID": "double", "VendorID": "int64", "airport_fee": "double", "cbd_congestion_fee": "double", "congestion_surcharge": "double",
+    "extra": "double", "fare_amount": "double", "improvement_surcharge": "double", "mta_tax": "double", "passenger_count": "double", "payment_type": "int64", "store_and_fwd_flag": "string",
+    "tip_amount": "double", "tolls_amount": "double", "total_amount": "double", "tpep_dropoff_datetime": "timestamp", "tpep_pickup_datetime": "timestamp", "trip_distance": "double",
+    "meter_serial": "string", "ehail_share": "double",
+}
+_CASTS = {
+    "int64": "TRY_CAST(regexp_replace(trim(v), '\\.0*$', '') AS BIGINT)", "double": "TRY_CAST(trim(v) AS DOUBLE)", "string": "v",
+    "timestamp": "coalesce(try_strptime(v, '%Y-%m-%dT%H:%M:%S'), try_strptime(v, '%Y-%m-%d %H:%M:%S'), try_strptime(v, '%m/%d/%Y %H:%M:%S'))",
+}
+_P7 = rf"""
+WITH one AS (SELECT filename, row_no, arg_max(coalesce(payload, ''), (coalesce(json_valid(payload), false), coalesce(payload, ''))) p, max(payload) IS NULL AS gone FROM raw_trip_records GROUP BY 1, 2),
+e0 AS (SELECT filename, row_no, p, unnest(json_keys(p)) k, generate_subscripts(json_keys(p), 1) i FROM one WHERE NOT gone AND json_valid(p)),
+cat AS (SELECT lower(regexp_replace(known_name, '[^\p{{L}}\p{{N}}]', '', 'g')) b, min(field_name) fld FROM field_catalog WHERE known_name IS NOT NULL GROUP BY 1 UNION ALL VALUES ('meterserial', 'meter_serial'), ('ehailshare', 'ehail_share')),
+e1 AS (SELECT filename, row_no, k, i, json_extract_string(p, '$."' || k || '"') v, fld FROM e0 LEFT JOIN cat ON b = lower(regexp_replace(k, '[^\p{{L}}\p{{N}}]', '', 'g'))),
+e AS (SELECT *, row_number() OVER (PARTITION BY filename, row_no, fld ORDER BY v IS NULL, i) r,
+  CASE {" ".join(f"WHEN fld = '{f}' THEN ({_CASTS[k]}) IS NOT NULL" for f, k in _FIELDS.items())} ELSE false END fits FROM e1),
+g AS (SELECT filename, row_no, {", ".join(f"max({_CASTS[k]}) FILTER (WHERE fld = '{f}' AND r = 1) AS {f}" for f, k in _FIELDS.items())},
+  string_agg('"' || k || '":' || coalesce(to_json(v), 'null'), ',' ORDER BY v IS NULL, i) FILTER (WHERE CASE WHEN v IS NULL THEN fld IS NULL ELSE NOT (fits AND r = 1) END) rest FROM e GROUP BY 1, 2)"""
+
 SQL = {
     "p1_found": "SELECT pu_location_id FROM int_trips_enriched WHERE pu_location_id IS NOT NULL GROUP BY 1 HAVING count(*) > 0.03 * (SELECT count(*) FROM int_trips_enriched)",
     "p1_zone_totals": """SELECT t.pu_location_id, z.borough, z.zone_name, count(*) AS trips, sum(total_amount::DECIMAL(18,4))::DECIMAL(38,4) AS total_amount,
@@ -150,6 +189,11 @@ WITH r AS (SELECT trip_bk, dbt_valid_from f, fare_amount a FROM snp_yellow_trips
   QUALIFY row_number() OVER (PARTITION BY trip_bk, dbt_valid_from ORDER BY _loaded_at DESC NULLS LAST, fare_amount DESC NULLS LAST) = 1),
 v AS (SELECT * FROM r WINDOW w AS (PARTITION BY trip_bk ORDER BY f) QUALIFY row_number() OVER w = 1 OR a IS DISTINCT FROM lag(a) OVER w)
 SELECT trip_bk, 'fare_amount' AS attribute, a AS value, f AS valid_from, lead(f) OVER (PARTITION BY trip_bk ORDER BY f) AS valid_to FROM v""",
+    "p7_unplaced": r"SELECT DISTINCT filename FROM raw_file_columns WHERE filename IS NOT NULL AND NOT regexp_matches(filename, '(^|[^0-9])[0-9]{4}-(0[1-9]|1[0-2])([^0-9]|$)')",
+    "p7_records": _P7 + f"""SELECT filename, row_no, {", ".join(_FIELDS)}, CASE WHEN gone THEN NULL WHEN NOT json_valid(p) THEN '{{"_broken":' || to_json(p) || '}}' WHEN rest IS NOT NULL THEN '{{' || rest || '}}' END AS _rescued
+FROM one LEFT JOIN g USING (filename, row_no)""",
+    "p7_rescued": _P7 + """SELECT filename, k AS written_name, CASE WHEN fld IS NULL THEN 'unknown' ELSE 'uncastable' END AS reason, count(*) AS n_records FROM e
+WHERE CASE WHEN v IS NULL THEN fld IS NULL ELSE NOT (fits AND r = 1) END GROUP BY 1, 2, 3 UNION ALL SELECT filename, '_broken', 'broken', count(*) FROM one WHERE NOT gone AND NOT json_valid(p) GROUP BY 1""",
     "p7_found": r"""
 WITH k AS (SELECT lower(regexp_replace(known_name, '[^\p{L}\p{N}]', '', 'g')) b, min(field_name) fld FROM field_catalog GROUP BY 1),
 c AS (SELECT DISTINCT filename, regexp_extract(filename, '_(\d{4}-\d{2})_', 1) m, regexp_replace(filename, '_\d{4}-\d{2}_', '_') ser, coalesce(fld, column_name) fld, column_name cn, data_type dt

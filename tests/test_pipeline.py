@@ -295,7 +295,8 @@ def test_stream(spark, place):
     import os
 
     last = max(os.listdir(f"{place}/cp/commits"), key=lambda n: (n.isdigit(), int(n) if n.isdigit() else -1))
-    os.remove(f"{place}/cp/commits/{last}")
+    for name in (last, f".{last}.crc"):
+        os.remove(f"{place}/cp/commits/{name}")
     assert append_available(*args) == 0
     t = lake.read("raw", "t")
     assert t.select("_ingest_batch_id").distinct().count() == 3
