@@ -3,11 +3,13 @@
 A value's mask keeps its punctuation and generalises its characters: digits to 9, capitals to A, small
 letters to a. Masks are few, so they are counted where the rows are; a column's dominant masks are its
 patterns, rows with other masks its violations, and half the L1 distance between the mask shares of a
-load and the one before its drift. Columns with small domains get the same from their value counts.
+load and the one before its drift. A column with a declared domain is judged by its masks first (a value
+of another mask is a violation, masks that drift are values that drift) and exactly within them.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
@@ -19,6 +21,16 @@ _FROM = "0123456789" + "abcdefghijklmnopqrstuvwxyz" + "ABCDEFGHIJKLMNOPQRSTUVWXY
 _TO = "9" * 10 + "a" * 26 + "A" * 26
 
 
+@dataclass(frozen=True)
+class Domain:
+    """What a column accepts: values of one of these masks, and of those the ones within [low, high] as
+    numbers."""
+
+    masks: tuple[str, ...]
+    low: float | None = None
+    high: float | None = None
+
+
 def canonical_text(c: Column, dtype: str) -> Column:
     """A number's text without trailing zeros after the point; any other value's text."""
     t = c.cast("string")
@@ -52,14 +64,32 @@ def load_sequence(counts: DataFrame) -> DataFrame:
 
 
 def value_counts(df: DataFrame, load: str, loader: str, columns: list[str]) -> DataFrame:
-    """(batch_id, loader, column_name, value, mask, n): the mergeable state of a profile. It is read several
-    times over, so it is written once to the shared folder."""
+    """(batch_id, loader, column_name, mask, value, n): the mergeable state of a profile of columns with
+    small domains. It is read several times over, so it is written once to the shared folder."""
     g = unpivot_texts(df, load, loader, columns).groupBy("batch_id", "loader", "column_name", "value").agg(F.count(F.lit(1)).alias("n"))
-    return materialize(g.withColumn("mask", mask(F.col("value"))), "value-counts")
+    return materialize(g.select("batch_id", "loader", "column_name", mask(F.col("value")).alias("mask"), "value", "n"), "value-counts")
+
+
+def mask_counts(df: DataFrame, load: str, loader: str, columns: list[str]) -> DataFrame:
+    """(batch_id, loader, column_name, mask, n): the mergeable state of a profile of any columns. Masks are
+    taken before anything is shuffled."""
+    g = unpivot_texts(df, load, loader, columns).withColumn("mask", mask(F.col("value"))).groupBy("batch_id", "loader", "column_name", "mask").agg(F.count(F.lit(1)).alias("n"))
+    return materialize(g, "mask-counts")
+
+
+def column_patterns(counts: DataFrame, rare: float = 0.03) -> DataFrame:
+    """(column_name, mask, n_rows, share, place, rare): every mask of every column over all loads, the
+    most frequent first (ties: the smallest text). Those with more than `rare` of the column's non-null rows
+    are its patterns, the others its rare masks."""
+    m = counts.where("mask is not null").groupBy("column_name", "mask").agg(F.sum("n").alias("n_rows"))
+    whole, order = Window.partitionBy("column_name"), Window.partitionBy("column_name").orderBy(F.col("n_rows").desc(), "mask")
+    total = F.sum("n_rows").over(whole)
+    few = F.col("n_rows").cast("decimal(20,0)") <= F.lit(Decimal(str(rare))) * total.cast("decimal(20,0)")
+    return m.select("column_name", "mask", "n_rows", (F.col("n_rows") / total).alias("share"), F.row_number().over(order).alias("place"), few.alias("rare"))
 
 
 def divergence(counts: DataFrame, item: str, seq: DataFrame) -> DataFrame:
-    """(batch_id, column_name, divergence): half the sum over all items of the absolute difference of
+    """(batch_id, column_name, <item>_divergence): half the sum over all items of the absolute difference of
     their shares among the non-null rows of a load and of the load before. No join of the two sides:
     each count is sent to its own load as + share and to the next one as - share."""
     known = counts.where(F.col(item).isNotNull()).groupBy("batch_id", "column_name", item).agg(F.sum("n").alias("n"))
@@ -68,75 +98,89 @@ def divergence(counts: DataFrame, item: str, seq: DataFrame) -> DataFrame:
     sides = F.array(F.struct(F.when(F.col("prev_batch").isNotNull(), F.col("batch_id")).alias("b"), F.lit(1.0).alias("sign")), F.struct(F.col("next_batch").alias("b"), F.lit(-1.0).alias("sign")))
     signed = shares.select("column_name", item, "share", F.explode(sides).alias("s")).where("s.b is not null")
     diff = signed.groupBy(F.col("s.b").alias("batch_id"), "column_name", item).agg(F.abs(F.sum(F.col("share") * F.col("s.sign"))).alias("d"))
-    return diff.groupBy("batch_id", "column_name").agg((F.sum("d") / 2).alias("divergence"))
-
-
-def profile_from_counts(counts: DataFrame, accepted: dict[str, str], rare: float = 0.03) -> DataFrame:
-    """Per load and column: rows, nulls, distinct values, share of unaccepted values (texts that
-    don't match the column's regular expression in `accepted`), share of rare masks (those with at
-    most `rare` of the column's non-null rows over all loads), and value and mask divergence from the
-    load before. Loads without rows don't appear; a column that is null throughout has null shares."""
-    ok = F.lit(True)
-    for c, pattern in accepted.items():
-        ok = F.when(F.col("column_name") == c, F.col("value").rlike(pattern)).otherwise(ok)
-    masks = counts.where("value is not null").groupBy("column_name", "mask").agg(F.sum("n").alias("m"))
-    masks = masks.withColumn("rare", F.col("m") <= F.lit(rare) * F.sum("m").over(Window.partitionBy("column_name"))).select("column_name", "mask", "rare")
-    known, bad = F.col("value").isNotNull(), F.col("value").isNotNull() & ~ok
+    return diff.groupBy("batch_id", "column_name").agg((F.sum("d") / 2).alias(f"{item}_divergence"))
+
+
+def profile_from_counts(counts: DataFrame, accepted: dict[str, Domain], rare: float = 0.03) -> DataFrame:
+    """Per load and column: rows, nulls, distinct values, rows of rare masks (see column_patterns), rows
+    whose mask the column's domain doesn't have, rows of its masks outside its range, and mask and value
+    divergence from the load before. Loads without rows don't appear; a column that is null throughout has
+    null divergences."""
+    known = F.col("value").isNotNull()
+    fits, inside = F.lit(True), F.lit(True)
+    for c, d in accepted.items():
+        number, own = F.col("value").try_cast("double"), F.col("column_name") == c
+        fits = F.when(own, F.col("mask").isin(*d.masks)).otherwise(fits)
+        within = (number >= d.low if d.low is not None else F.lit(True)) & (number <= d.high if d.high is not None else F.lit(True))
+        inside = F.when(own, F.coalesce(within, F.lit(d.low is None and d.high is None))).otherwise(inside)
+
+    def rows(c: Column) -> Column:
+        return F.sum(F.when(known & c, F.col("n")).otherwise(0))
+
+    patterns = column_patterns(counts, rare).select("column_name", "mask", "rare")
     seq = load_sequence(counts)
     base = (
-        counts.join(masks, ["column_name", "mask"], "left")
+        counts.join(patterns, ["column_name", "mask"], "left")
         .groupBy("batch_id", "column_name")
         .agg(
             F.sum("n").alias("n_rows"), F.sum(F.when(~known, F.col("n")).otherwise(0)).alias("n_null"), F.count_distinct("value").alias("n_distinct"),
-            F.sum(F.when(bad, F.col("n")).otherwise(0)).alias("n_unaccepted"), F.sum(F.when(F.col("rare"), F.col("n")).otherwise(0)).alias("n_rare_mask"),
+            rows(F.col("rare")).alias("n_rare_mask"), rows(~fits).alias("n_other_mask"), rows(fits & ~inside).alias("n_outside"),
         )
     )
     prev = base.select(F.col("batch_id").alias("prev_batch"), "column_name", (F.col("n_null") / F.col("n_rows")).alias("prev_null_share"))
     return (
         base.join(seq, "batch_id", "left")
         .join(prev, ["prev_batch", "column_name"], "left")
-        .join(divergence(counts, "value", seq).withColumnRenamed("divergence", "value_divergence"), ["batch_id", "column_name"], "left")
-        .join(divergence(counts, "mask", seq).withColumnRenamed("divergence", "mask_divergence"), ["batch_id", "column_name"], "left")
-        .select("batch_id", "column_name", "prev_batch", "n_rows", "n_null", "n_distinct", "n_unaccepted", "n_rare_mask", "prev_null_share", "value_divergence", "mask_divergence")
+        .join(divergence(counts, "mask", seq), ["batch_id", "column_name"], "left")
+        .join(divergence(counts, "value", seq), ["batch_id", "column_name"], "left")
+        .select("batch_id", "column_name", "prev_batch", "n_rows", "n_null", "n_distinct", "n_rare_mask", "n_other_mask", "n_outside", "prev_null_share", "mask_divergence", "value_divergence")
     )
 
 
 def load_issues(profile: DataFrame, unaccepted: float = 0.03, null_change: float = 0.15, shift: float = 0.2) -> DataFrame:
-    """(batch_id, column_name, issue) of a profile: `values`, `nulls`, `shift`."""
+    """(batch_id, column_name, issue) of a profile: `values`, `nulls`, `shift`. Values are judged by their
+    masks, and within the domain's masks by the exact value; a shift is one of masks, which is one of values
+    as well, or else one of values within masks."""
     known = F.col("n_rows") - F.col("n_null")
     nulls = F.abs(F.col("n_null") / F.col("n_rows") - F.col("prev_null_share")) > null_change
+    bad = F.col("n_other_mask") + F.col("n_outside")
+    moved = F.greatest(F.round("mask_divergence", 12), F.round("value_divergence", 12)) > shift
     found = F.array_compact(F.array(
-        F.when(F.col("n_unaccepted") > known.cast("decimal(20,0)") * F.lit(Decimal(str(unaccepted))), F.lit("values")),
+        F.when(bad > known.cast("decimal(20,0)") * F.lit(Decimal(str(unaccepted))), F.lit("values")),
         F.when(nulls, F.lit("nulls")),
-        F.when(F.col("prev_batch").isNotNull() & (F.col("value_divergence") > shift), F.lit("shift")),
+        F.when(F.col("prev_batch").isNotNull() & moved, F.lit("shift")),
     ))
     return profile.select("batch_id", "column_name", F.explode(found).alias("issue"))
 
 
-def mask_profile(df: DataFrame, load: str, loader: str, columns: list[str], rare: float = 0.03) -> DataFrame:
-    """Any column, high cardinality included: per load and column the dominant mask (ties: the smallest
-    text), the number of masks, the share of rare masks and the mask divergence from the load before.
-    Masks are taken before anything is shuffled."""
-    g = unpivot_texts(df, load, loader, columns).withColumn("mask", mask(F.col("value"))).groupBy("batch_id", "loader", "column_name", "mask").agg(F.count(F.lit(1)).alias("n"))
-    g = materialize(g, "mask-counts")
-    per = g.groupBy("batch_id", "column_name", "mask").agg(F.sum("n").alias("n"))
-    overall = per.where("mask is not null").groupBy("column_name", "mask").agg(F.sum("n").alias("m"))
-    overall = overall.withColumn("rare", F.col("m") <= F.lit(rare) * F.sum("m").over(Window.partitionBy("column_name"))).select("column_name", "mask", "rare")
+def mask_profile(counts: DataFrame, rare: float = 0.03) -> DataFrame:
+    """From mask_counts, any column, high cardinality included: per load and column the dominant mask
+    (ties: the smallest text), the number of masks, the rows of rare masks and the mask divergence from
+    the load before."""
+    per = counts.groupBy("batch_id", "column_name", "mask").agg(F.sum("n").alias("n"))
     w = Window.partitionBy("batch_id", "column_name").orderBy(F.col("mask").isNull(), F.col("n").desc(), "mask")
-    ranked = per.join(overall, ["column_name", "mask"], "left").withColumn("_k", F.row_number().over(w))
+    ranked = per.join(column_patterns(counts, rare).select("column_name", "mask", "rare"), ["column_name", "mask"], "left").withColumn("_k", F.row_number().over(w))
     base = ranked.groupBy("batch_id", "column_name").agg(
         F.sum("n").alias("n_rows"), F.sum(F.when(F.col("mask").isNull(), F.col("n")).otherwise(0)).alias("n_null"), F.count("mask").alias("n_masks"),
         F.max(F.when(F.col("_k") == 1, F.col("mask"))).alias("dominant_mask"), F.sum(F.when(F.col("rare"), F.col("n")).otherwise(0)).alias("n_rare_mask"),
     )
-    return base.join(divergence(g, "mask", load_sequence(g)).withColumnRenamed("divergence", "mask_divergence"), ["batch_id", "column_name"], "left")
+    return base.join(divergence(counts, "mask", load_sequence(counts)), ["batch_id", "column_name"], "left")
 
 
-def range_profile(df: DataFrame, load: str, columns: list[str]) -> DataFrame:
-    """Per load and column: rows, nulls, approximate number of distinct values (relative standard
-    deviation 2 %), least and greatest value as text. One pass, one row per load before the unpivot."""
-    aggs = [F.count(F.lit(1)).alias("n_rows")]
-    for c in columns:
-        aggs += [F.count(c).alias(f"{c}__k"), F.approx_count_distinct(c, 0.02).alias(f"{c}__d"), F.min(c).cast("string").alias(f"{c}__lo"), F.max(c).cast("string").alias(f"{c}__hi")]
-    wide = df.groupBy(F.col(load).alias("batch_id")).agg(*aggs)
-    cells = F.array(*[F.struct(F.lit(c).alias("column_name"), (F.col("n_rows") - F.col(f"{c}__k")).alias("n_null"), F.col(f"{c}__d").alias("approx_distinct"), F.col(f"{c}__lo").alias("least"), F.col(f"{c}__hi").alias("greatest")) for c in columns])
+def _by_load(df: DataFrame, load: str, columns: list[str], aggs: dict[str, object]) -> DataFrame:
+    """(batch_id, n_rows, column_name, <name of each agg>...): one wide row per load, folded where its rows
+    are, before it is turned into a row per column."""
+    wide = df.groupBy(F.col(load).alias("batch_id")).agg(F.count(F.lit(1)).alias("n_rows"), *[f(c).alias(f"{c}__{k}") for c in columns for k, f in aggs.items()])
+    cells = F.array(*[F.struct(F.lit(c).alias("column_name"), *[F.col(f"{c}__{k}").alias(k) for k in aggs]) for c in columns])
     return wide.select("batch_id", "n_rows", F.explode(cells).alias("c")).select("batch_id", "n_rows", "c.*")
+
+
+def range_profile(df: DataFrame, load: str, columns: list[str]) -> DataFrame:
+    """Per load and column: rows, nulls, least and greatest value as text."""
+    return _by_load(df, load, columns, {"n_null": lambda c: F.count_if(F.col(c).isNull()), "least": lambda c: F.min(c).cast("string"), "greatest": lambda c: F.max(c).cast("string")})
+
+
+def distinct_profile(df: DataFrame, load: str, columns: list[str], error: float = 0.02) -> DataFrame:
+    """Per load and column: rows and the number of distinct non-null values, estimated with the stated
+    relative standard deviation from sketches of a fixed size."""
+    return _by_load(df, load, columns, {"approx_distinct": lambda c: F.approx_count_distinct(c, error)})

@@ -9,7 +9,7 @@ from cabstrata.operators import drift, history, profile, skew, snapshots
 from cabstrata.session import load
 
 HEAVY_SHARE = 0.03
-ACCEPTED = {"passenger_count": r"^[0-9]$", "RatecodeID": r"^[1-6]$", "payment_type": r"^[1-6]$"}
+ACCEPTED = {"passenger_count": profile.Domain(("9",), 0, 9), "RatecodeID": profile.Domain(("9",), 1, 6), "payment_type": profile.Domain(("9",), 1, 6)}
 
 
 def _money(c: str):
@@ -50,17 +50,32 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p4_load_profile(spark: SparkSession, d: str) -> DataFrame:
     p = _load_profile(spark, d)
-    return p.select("batch_id", "column_name", "n_rows", "n_null", "n_distinct", "n_unaccepted", F.round("value_divergence", 6).alias("value_divergence"))
+    counts = ["n_rows", "n_null", "n_distinct", "n_other_mask", "n_outside"]
+    return p.select("batch_id", "column_name", *counts, F.round("mask_divergence", 6).alias("mask_divergence"), F.round("value_divergence", 6).alias("value_divergence"))
 
 
-def p4_mask_profile(spark: SparkSession, d: str) -> DataFrame:
+def _mask_counts(spark: SparkSession, d: str) -> DataFrame:
     t = load(spark, d, "yellow_tripdata")
-    return profile.mask_profile(t, "_ingest_batch_id", "_loaded_by", [c for c in t.columns if c not in ("_row_id", "_ingest_batch_id", "_loaded_by")])
+    return profile.mask_counts(t, "_ingest_batch_id", "_loaded_by", t.columns)
+
+
+def p4_mask_profile(spark: SparkSession, d: str) -> DataFrame:
+    return profile.mask_profile(_mask_counts(spark, d)).withColumn("mask_divergence", F.round("mask_divergence", 6))
+
+
+def p4_patterns(spark: SparkSession, d: str) -> DataFrame:
+    """The patterns of every column: its masks with more than 3 % of the non-null rows."""
+    return profile.column_patterns(_mask_counts(spark, d)).where("not rare").select("column_name", "mask", "n_rows", F.round("share", 6).alias("share"), "place")
 
 
 def p4_ranges(spark: SparkSession, d: str) -> DataFrame:
     t = load(spark, d, "yellow_tripdata")
-    return profile.range_profile(t, "_ingest_batch_id", [c for c in t.columns if c not in ("_row_id", "_ingest_batch_id")])
+    return profile.range_profile(t, "_ingest_batch_id", t.columns)
+
+
+def p4_distinct(spark: SparkSession, d: str) -> DataFrame:
+    t = load(spark, d, "yellow_tripdata")
+    return profile.distinct_profile(t, "_ingest_batch_id", t.columns)
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
@@ -108,7 +123,7 @@ def p7_rescued(spark: SparkSession, d: str) -> DataFrame:
     return drift.rescued_report(*_records(spark, d))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_zone_totals, p1_zone_flow, p4_found, p4_load_profile, p4_mask_profile, p4_ranges, p5_found, p6_found, p6_fare_history, p7_found, p7_unplaced, p7_records, p7_rescued)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_zone_totals, p1_zone_flow, p4_found, p4_load_profile, p4_mask_profile, p4_patterns, p4_ranges, p4_distinct, p5_found, p6_found, p6_fare_history, p7_found, p7_unplaced, p7_records, p7_rescued)}
 
 _IDS = "VendorID, tpep_pickup_datetime, tpep_dropoff_datetime, PULocationID, DOLocationID"
 _VALUES = "passenger_count, trip_distance, RatecodeID, store_and_fwd_flag, payment_type, fare_amount, extra, mta_tax, tip_amount, tolls_amount, improvement_surcharge, total_amount, congestion_surcharge, airport_fee, cbd_congestion_fee"
@@ -122,7 +137,8 @@ WITH u AS (
   UNION ALL SELECT _ingest_batch_id, _loaded_by, 'payment_type', payment_type::DOUBLE FROM yellow_tripdata),
 loads AS (SELECT b, lag(b) OVER (PARTITION BY l ORDER BY b) pb FROM (SELECT b, max(l) l FROM u WHERE b IS NOT NULL GROUP BY b)),
 base AS (SELECT b, c, count(*) n, count(*) - count(v) nn, count(DISTINCT v) nd,
-  count(*) FILTER (WHERE v IS NOT NULL AND NOT (v = floor(v) AND v <= (CASE WHEN c = 'passenger_count' THEN 9 ELSE 6 END) AND v >= (CASE WHEN c = 'passenger_count' THEN 0 ELSE 1 END))) bad
+  count(*) FILTER (WHERE v IS NOT NULL AND NOT (v = floor(v) AND v <= (CASE WHEN c = 'passenger_count' THEN 9 ELSE 6 END) AND v >= (CASE WHEN c = 'passenger_count' THEN 0 ELSE 1 END))) bad,
+  count(*) FILTER (WHERE v IS NOT NULL AND NOT (v = floor(v) AND v BETWEEN 0 AND 9)) om
   FROM u GROUP BY b, c),
 s AS (SELECT b, c, v, count(*) / sum(count(*)) OVER (PARTITION BY b, c) share FROM u WHERE v IS NOT NULL GROUP BY b, c, v),
 cur AS (SELECT s.b, c, v, share FROM s JOIN loads USING (b) WHERE pb IS NOT NULL),
@@ -131,6 +147,32 @@ div AS (SELECT coalesce(cur.b, old.b) b, coalesce(cur.c, old.c) c, sum(abs(coale
   FROM cur FULL JOIN old ON cur.b = old.b AND cur.c = old.c AND cur.v = old.v GROUP BY 1, 2)
 """
 
+_ALL = ["_row_id", *[c.strip() for c in f"{_IDS}, {_VALUES}".split(",")], "_source_filename", "_ingest_batch_id", "_loaded_by", "_loaded_at"]
+
+
+def _plain(c: str) -> str:
+    return "(_loaded_at AT TIME ZONE 'UTC')" if c == "_loaded_at" else c
+
+
+def _mask(text: str) -> str:
+    """Each character by its class, as one replacement after the other."""
+    return f"regexp_replace(regexp_replace(regexp_replace(regexp_replace({text}, '[0-9]', '9', 'g'), '[A-Z]', 'A', 'g'), '[a-z]', 'a', 'g'), '[^\\x00-\\x7F]', 'a', 'g')"
+
+
+def _text(c: str) -> str:
+    decimals = {"passenger_count", "trip_distance", "RatecodeID"} | {x for x in _ALL if x.endswith(("amount", "surcharge", "fee")) or x in ("extra", "mta_tax")}
+    return f"rtrim(rtrim({c}::VARCHAR, '0'), '.')" if c in decimals else f"{_plain(c)}::VARCHAR"
+
+
+def _mask_divergence(source: str) -> str:
+    """(b, c, md) of a source of (b, c, m); loads gives each load its predecessor."""
+    return f"""WITH ms AS (SELECT b, c, m, count(*) / sum(count(*)) OVER (PARTITION BY b, c) s FROM {source} WHERE m IS NOT NULL AND b IS NOT NULL GROUP BY b, c, m),
+mn AS (SELECT ms.* FROM ms JOIN loads USING (b) WHERE pb IS NOT NULL), mo AS (SELECT loads.b, c, m, s FROM ms JOIN loads ON loads.pb = ms.b)
+SELECT coalesce(mn.b, mo.b) b, coalesce(mn.c, mo.c) c, sum(abs(coalesce(mn.s, 0) - coalesce(mo.s, 0))) / 2 md FROM mn FULL JOIN mo ON mn.b = mo.b AND mn.c = mo.c AND mn.m = mo.m GROUP BY 1, 2"""
+
+
+_UNPIVOTED = "u AS (" + " UNION ALL ".join(f"SELECT _ingest_batch_id b, _loaded_by l, '{c}' c, {_mask(_text(c))} m FROM yellow_tripdata" for c in _ALL) + ")"
+
 # The catalog's fields with their types, in the order of their names, and the approved ones.
 _FIELDS = {
     "DOLocationID": "int64", "PULocationID": "int64", "RatecodeID": "double", "VendorID": "int64", "airport_fee": "double", "cbd_congestion_fee": "double", "congestion_surcharge": "double",
@@ -162,8 +204,17 @@ FROM int_trips_enriched b JOIN int_trips_enriched e ON e.do_location_id = b.pu_l
     "p4_found": _P4 + """SELECT b AS batch_id, c AS column_name, 'values' AS issue FROM base WHERE bad > 0.03 * (n - nn)
 UNION ALL SELECT x.b, x.c, 'nulls' FROM base x JOIN loads ON loads.b = x.b JOIN base y ON y.b = loads.pb AND y.c = x.c WHERE abs(x.nn / x.n - y.nn / y.n) > 0.15
 UNION ALL SELECT b, c, 'shift' FROM div WHERE d > 0.2""",
-    "p4_load_profile": _P4 + """SELECT base.b AS batch_id, base.c AS column_name, n AS n_rows, nn AS n_null, nd AS n_distinct, bad AS n_unaccepted, round(d, 6) AS value_divergence
-FROM base LEFT JOIN div ON div.b = base.b AND div.c = base.c""",
+    "p4_load_profile": _P4 + f"""SELECT base.b AS batch_id, base.c AS column_name, n AS n_rows, nn AS n_null, nd AS n_distinct, om AS n_other_mask, bad - om AS n_outside, round(md, 6) AS mask_divergence, round(d, 6) AS value_divergence
+FROM base LEFT JOIN div ON div.b = base.b AND div.c = base.c LEFT JOIN ({_mask_divergence("(SELECT b, c, " + _mask("rtrim(rtrim(v::DECIMAL(18,4)::VARCHAR, '0'), '.')") + " m FROM u)")}) x ON x.b = base.b AND x.c = base.c""",
+    "p4_mask_profile": f"""WITH {_UNPIVOTED}, loads AS (SELECT b, lag(b) OVER (PARTITION BY l ORDER BY b) pb FROM (SELECT b, max(l) l FROM u WHERE b IS NOT NULL GROUP BY b)),
+mc AS (SELECT c, m, count(*) <= 0.03 * sum(count(*)) OVER (PARTITION BY c) rare FROM u WHERE m IS NOT NULL GROUP BY c, m),
+pm AS (SELECT b, c, m, count(*) n FROM u GROUP BY b, c, m), r AS (SELECT pm.*, rare FROM pm LEFT JOIN mc ON mc.c = pm.c AND mc.m = pm.m)
+SELECT r.b AS batch_id, r.c AS column_name, sum(n)::BIGINT AS n_rows, coalesce(sum(n) FILTER (WHERE m IS NULL), 0)::BIGINT AS n_null, count(m) AS n_masks, coalesce(sum(n) FILTER (WHERE rare), 0)::BIGINT AS n_rare_mask,
+  (list(m ORDER BY n DESC, m) FILTER (WHERE m IS NOT NULL))[1] AS dominant_mask, round(any_value(md), 6) AS mask_divergence
+FROM r LEFT JOIN ({_mask_divergence("u")}) x ON x.b = r.b AND x.c = r.c GROUP BY r.b, r.c""",
+    "p4_patterns": f"""WITH {_UNPIVOTED}, mc AS (SELECT c, m, count(*) n, sum(count(*)) OVER (PARTITION BY c) t FROM u WHERE m IS NOT NULL GROUP BY c, m)
+SELECT c AS column_name, m AS mask, n AS n_rows, round(n / t, 6) AS share, row_number() OVER (PARTITION BY c ORDER BY n DESC, m)::INT AS place FROM mc QUALIFY n > 0.03 * t""",
+    "p4_ranges": " UNION ALL ".join(f"SELECT _ingest_batch_id AS batch_id, '{c}' AS column_name, count(*) AS n_rows, count(*) - count({c}) AS n_null, min({_plain(c)})::VARCHAR AS least, max({_plain(c)})::VARCHAR AS greatest FROM yellow_tripdata GROUP BY 1" for c in _ALL),
     "p5_found": f"""
 WITH f AS (SELECT DISTINCT snapshot_id s, lower(trim(regexp_extract(filename, '([^/]*)$', 1))) item, lower(trim(replace(regexp_replace(trim(etag), '^[wW]/', ''), '"', ''))) e FROM source_fingerprints WHERE snapshot_id IS NOT NULL AND filename IS NOT NULL),
 fs AS (SELECT s, lag(s) OVER (ORDER BY s) p, lead(s) OVER (ORDER BY s) nx FROM (SELECT DISTINCT s FROM f)),

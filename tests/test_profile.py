@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from cabstrata.operators import profile
 
-ACCEPTED = {"a": r"^[0-9]$"}
+ACCEPTED = {"a": profile.Domain(("9",), 0, 9)}
 
 
 def table(spark, rows):
@@ -40,13 +40,30 @@ def test_null_columns_null_loads_and_empty_tables(spark):
     got = run(spark, [("b1", "x", None), ("b1", "x", None), (None, "x", "3"), ("b2", None, "1")]).collect()
     assert {(r.batch_id, r.n_rows, r.n_null, r.n_distinct) for r in got} == {("b1", 2, 2, 0), (None, 1, 0, 1), ("b2", 1, 0, 1)}
     assert run(spark, []).count() == 0
-    assert profile.mask_profile(table(spark, []), "b", "l", ["a"]).count() == 0
+    assert profile.mask_profile(profile.mask_counts(table(spark, []), "b", "l", ["a"])).count() == 0
 
 
 def test_mask_profile(spark):
     rows = [("b1", "x", "1")] * 99 + [("b1", "x", "-7")] + [("b2", "x", "22")] * 100
-    got = {r.batch_id: r for r in profile.mask_profile(table(spark, rows), "b", "l", ["a"]).collect()}
+    got = {r.batch_id: r for r in profile.mask_profile(profile.mask_counts(table(spark, rows), "b", "l", ["a"])).collect()}
     assert got["b1"].dominant_mask == "9" and got["b1"].n_rare_mask == 1 and got["b1"].mask_divergence is None
     assert got["b2"].dominant_mask == "99" and got["b2"].mask_divergence == 1.0
     lo = {r.batch_id: (r.least, r.greatest, r.n_null) for r in profile.range_profile(table(spark, rows), "b", ["a"]).collect()}
     assert lo["b1"] == ("-7.00", "1.00", 0)
+
+
+def test_masks_judge_before_values(spark):
+    rows = [("b1", "x", "1")] * 90 + [("b1", "x", "77")] * 9 + [("b1", "x", "-3")] + [("b2", "x", "2")] * 70 + [("b2", "x", "88")] * 30
+    counts = profile.value_counts(table(spark, rows), "b", "l", ["a"])
+    got = {r.batch_id: r for r in profile.profile_from_counts(counts, {"a": profile.Domain(("9",), 2, 6)}).collect()}
+    assert (got["b1"].n_other_mask, got["b1"].n_outside, got["b1"].n_rare_mask) == (10, 90, 1) and (got["b2"].n_other_mask, got["b2"].n_outside) == (30, 0)
+    assert round(got["b2"].mask_divergence, 9) == 0.21 and got["b2"].value_divergence == 1.0
+    assert "mask" in profile.load_issues(profile.profile_from_counts(counts, ACCEPTED))._jdf.queryExecution().optimizedPlan().toString()
+    patterns = {r.mask: (r.n_rows, r.place, r.rare) for r in profile.column_patterns(counts).collect()}
+    assert patterns == {"9": (160, 1, False), "99": (39, 2, False), "-9": (1, 3, True)}
+
+
+def test_distinct_estimates(spark):
+    rows = [("b1", "x", str(i % 700)) for i in range(3000)] + [("b2", "x", None)]
+    got = {r.batch_id: r.approx_distinct for r in profile.distinct_profile(table(spark, rows), "b", ["a"]).collect()}
+    assert abs(got["b1"] - 700) <= 3 * 0.02 * 700 and got["b2"] == 0
