@@ -13,6 +13,8 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cabstrata.session import materialize
+
 
 def compact(df: DataFrame, by: list[str], sums: dict[str, Column] | None = None, count: str = "_n") -> DataFrame:
     """One row per group: its number of rows and sums; partial on the map side."""
@@ -55,7 +57,9 @@ def eager_join_aggregate(
 
 
 def heavy_keys(states: DataFrame, key: str, weight: str, share: float) -> DataFrame:
-    """The keys with more than `share` of all weight, from states of one row per key. A null key
-    counts in the total and isn't a key."""
+    """The keys with more than `share` of all weight, from states of one row per key. A null key counts in
+    the total and isn't a key. The states are needed for the total and again for the keys: they are written
+    once, so that what they were made of is read once."""
+    states = materialize(states.select(key, weight), "key-states")
     total = states.select(F.sum(weight).alias("t")).scalar()
     return states.where(F.col(key).isNotNull() & (F.col(weight) > total.cast("decimal(20,0)") * F.lit(Decimal(str(share))))).select(key)
