@@ -29,13 +29,19 @@ def trip_key(vendor: str = "VendorID", pickup: str = "tpep_pickup_datetime", dro
     return surrogate_key(F.col(vendor), second_text(F.col(pickup)), second_text(F.col(dropoff)), F.col(pu), F.col(do))
 
 
+def null_places(cols: list[str]) -> Column:
+    """The places of nulls among cols, one bit each."""
+    if len(cols) > 63:
+        return F.struct(*[null_places(cols[i : i + 63]) for i in range(0, len(cols), 63)])
+    return sum((F.when(F.col(c).isNull(), F.lit(1 << i).cast("bigint")).otherwise(F.lit(0).cast("bigint")) for i, c in enumerate(cols)), F.lit(0).cast("bigint"))
+
+
 def row_hash(cols: list[str], seed: int = 0) -> Column:
     """64-bit hash of a row in which a null at one place differs from a null at another.
 
-    The built-in hash passes over nulls; the mask of null places goes in as well.
+    The built-in hash passes over nulls; the places of nulls go in as well.
     """
-    mask = F.concat(*[F.when(F.col(c).isNull(), "1").otherwise("0") for c in cols])
-    return F.xxhash64(F.lit(seed), mask, *[F.col(c) for c in cols])
+    return F.xxhash64(F.lit(seed), null_places(cols), *[F.col(c) for c in cols])
 
 
 def filled(cols: list[str]) -> Column:

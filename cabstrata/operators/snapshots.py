@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from cabstrata.functions.keys import TRIP_IDS, TRIP_VALUES, bare_etag, bare_name, filled, row_hash, trip_key
 from cabstrata.operators.sizing import lookup_join
+from cabstrata.session import materialize
 
 
 def snapshot_sequence(df: DataFrame, scope: list[str], order: str) -> DataFrame:
@@ -26,14 +27,19 @@ def snapshot_diff(rows: DataFrame, scope: list[str], order: str, key: str, hashe
     hashed are the columns whose values are compared, null equal to null. Rows with a null in scope,
     order or key belong to no snapshot and are left out. The first snapshot of a scope has nothing to
     be compared with. The list of snapshots is broadcast only if its measured size allows it.
+
+    The list of snapshots (a pass over their two columns) and the folded state are written once, so that
+    the wide columns are read and folded once for both sides of the join. Snapshots without a neighbour
+    fall out before anything is shuffled.
     """
     rows = rows.where(" and ".join(f"`{c}` is not null" for c in [*scope, order, key]))
     h = F.struct(row_hash(hashed, 1).alias("a"), row_hash(hashed, 2).alias("b"))
-    seq = snapshot_sequence(rows, scope, order).where("_prev is not null or _next is not null")
+    seq = materialize(snapshot_sequence(rows, scope, order).where("_prev is not null or _next is not null"), "snapshots")
     slim = rows.select(key, *scope, order, F.struct(prefer.alias("p"), h.alias("h")).alias("_r"))
-    state = lookup_join(slim, seq.select(*scope, order, "_prev", "_next"), [*scope, order], salt_on=[key])
+    placed = lookup_join(slim, seq.select(*scope, order, "_prev", "_next"), [*scope, order], salt_on=[key])
     by = [key, *scope, order]
-    one = state.groupBy(*by).agg(F.max("_r").getField("h").alias("h"), F.first("_prev").alias("_prev"), F.first("_next").alias("_next"))
+    folded = placed.groupBy(*by).agg(F.max("_r").getField("h").alias("h"), F.first("_prev").alias("_prev"), F.first("_next").alias("_next"))
+    one = materialize(folded, "snapshot-state")
     now = one.where("_prev is not null").select(*by, F.col("h").alias("_now"))
     old = one.where("_next is not null").select(key, *scope, F.col("_next").alias(order), F.col("h").alias("_old"))
     change = F.when(F.col("_old").isNull(), "added").when(F.col("_now").isNull(), "removed").when(F.col("_old") != F.col("_now"), "changed")
