@@ -6,25 +6,23 @@ different values) are alike to the model, so all its arithmetic runs on patterns
 
 1. patterns are counted; the value with the greatest posterior is held true;
 2. each source's accuracy is the mean posterior of its claims;
-3. two sources' dependence follows from how often they share a false value, share a true one or
-   differ, against what independent sources of their accuracies would do;
+3. two sources' dependence, in either direction, follows from how often they share a false value, share
+   a true one or differ, against what independent sources of their accuracies would do;
 4. a claim votes with ln(n A / (1 - A)), discounted by the chance that it was copied from a supporter
    of the same value that votes before it; the posterior is the softmax of vote sums and priors.
 
-Steps 2 to 4 are repeated; the first time all accuracies are held equal. What reaches the driver are sums per source and per pair of sources that
-meet in a pattern: bounded by the number of loads, never by rows or groups.
+Steps 2 to 4 are repeated; the first time all accuracies are held equal. Accuracies, pairs of sources and
+patterns are tables from beginning to end: nothing of the model comes to the driver, and its arithmetic is
+built-in expressions. Pairs are pairs of sources within a pattern, never of rows.
 
-The prior decides how far the votes may overrule the order of preference. `flat` leaves the choice to
-the votes. `ordered` gives each claim a prior that falls by more per rank than all votes of all sources
-can add, so the posterior's maximum is the first known value in the order of preference.
+The order of preference alone settles what `preferred` gives: the survivor and the first row that knows
+the value, in one fold without votes.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,6 +34,19 @@ LOW, HIGH, PLAIN, ROUNDS = 0.02, 0.98, 0.8, 4
 WRONG, COPIED, COPIER = 20.0, 0.8, 0.1
 
 
+def preferred(rows: DataFrame, group: str, row_id: str, prefer: list[str], value: str) -> DataFrame:
+    """One row per group of two or more: (grp, n_rows, group_row_id, survivor_row_id, value_row_id, value).
+
+    The survivor is the first row in the order of preference: greater is better in each column of prefer
+    and null is least; ties go to the smallest row_id. value_row_id is the first row in that order that
+    knows the value, or -1 (and the value null) where none does. A null group is a group. Folded on the map
+    side, so a group of any size is a row per task.
+    """
+    order = F.struct(*[F.col(c).alias(f"p{i}") for i, c in enumerate(prefer)], (-F.col(row_id)).alias("id"), F.col(value).alias("v"))
+    g = rows.groupBy(F.col(group).alias("grp")).agg(F.count(F.lit(1)).alias("n_rows"), F.min(row_id).alias("first_id"), F.max(order).alias("best"), F.max(F.when(F.col(value).isNotNull(), order)).alias("known")).where("n_rows >= 2")
+    return g.select("grp", "n_rows", F.col("first_id").alias("group_row_id"), (-F.col("best.id")).alias("survivor_row_id"), F.coalesce(-F.col("known.id"), F.lit(-1).cast("bigint")).alias("value_row_id"), F.col("known.v").alias("value"))
+
+
 def source_claims(rows: DataFrame, group: str, source: str, row_id: str, prefer: list[str], value: str) -> DataFrame:
     """(grp, src, best, known, first_id, n): a source's preferred row and, where that one's value is null,
     its preferred row with a known value. prefer: columns of which greater is better and null is least;
@@ -50,8 +61,8 @@ def source_claims(rows: DataFrame, group: str, source: str, row_id: str, prefer:
 
 def group_claims(claims: DataFrame, source: str, prefer: list[str]) -> DataFrame:
     """Groups of two or more rows: (grp, n_rows, first_id, best, known, values, pattern). known: the known
-    claims in the order of preference; values: their different values in that order; pattern: per source
-    the number of its value. Arrays have at most one entry per source."""
+    claims in the order of preference; values: their different values in that order; pattern: for each
+    source, in order, the number of its value (from 0). Arrays have at most one entry per source."""
 
     def ranked(c: Column, s: Column) -> Column:
         order = [s.alias(f"p{i}") if name == source else c[f"p{i}"].alias(f"p{i}") for i, name in enumerate(prefer)]
@@ -63,121 +74,125 @@ def group_claims(claims: DataFrame, source: str, prefer: list[str]) -> DataFrame
     told = F.filter(F.transform("c", lambda x: F.struct(ranked(F.coalesce(x["known"], x["best"]), x["src"]).alias("k"), F.coalesce(x["src"], F.lit("")).alias("s"))), lambda x: x["k"]["v"].isNotNull())
     g = g.withColumn("known", F.reverse(F.array_sort(told)))
     g = g.withColumn("values", F.array_distinct(F.transform("known", lambda x: x["k"]["v"])))
-    said = F.array_sort(F.transform("known", lambda x: F.concat(x["s"], F.lit("="), F.array_position("values", x["k"]["v"]))))
-    return g.select("grp", "n_rows", "first_id", "best", "known", "values", F.concat_ws("|", said).alias("pattern"))
+    said = F.array_sort(F.transform("known", lambda x: F.struct(x["s"].alias("s"), (F.array_position("values", x["k"]["v"]) - 1).cast("int").alias("v"))))
+    return g.select("grp", "n_rows", "first_id", "best", "known", "values", said.alias("pattern"))
+
+
+def count_patterns(groups: DataFrame) -> DataFrame:
+    """(pid, pattern, n): the patterns of groups with a known claim, numbered, with their groups' number."""
+    p = groups.where(F.size("pattern") > 0).groupBy("pattern").agg(F.count(F.lit(1)).alias("n"))
+    return materialize(p.select(F.monotonically_increasing_id().alias("pid"), "pattern", "n"), "fusion-patterns")
+
+
+def source_pairs(patterns: DataFrame) -> DataFrame:
+    """(pid, n, s, t, vs, vt), s < t: the pairs of sources that meet in a pattern and what each says."""
+    later = F.transform("pattern", lambda x, i: F.transform(F.slice("pattern", i + 2, F.size("pattern")), lambda y: F.struct(x["s"].alias("s"), y["s"].alias("t"), x["v"].alias("vs"), y["v"].alias("vt"))))
+    return patterns.where(F.size("pattern") > 1).select("pid", "n", F.explode(F.flatten(later)).alias("p")).select("pid", "n", "p.*")
 
 
-def _parse(pattern: str) -> list[tuple[str, int]]:
-    return [(s.rpartition("=")[0], int(s.rpartition("=")[2]) - 1) for s in pattern.split("|")] if pattern else []
+def agreement(patterns: DataFrame) -> DataFrame:
+    """(source_a, source_b, n_groups, n_same): of each pair of sources the groups in which both claim a
+    value, and in which it is the same; what the detection of copies rests on."""
+    p = source_pairs(patterns)
+    return p.groupBy(F.col("s").alias("source_a"), F.col("t").alias("source_b")).agg(F.sum("n").alias("n_groups"), F.sum(F.when(F.col("vs") == F.col("vt"), F.col("n")).otherwise(0)).alias("n_same"))
+
+
+def copying(a: Column, b: Column, same_true: Column, same_false: Column, differ: Column) -> tuple[Column, Column]:
+    """The chances that the first of two sources of accuracies a and b copies the second, and the second
+    the first. Who copies shares values as often as they are true at the other one."""
+    both = a * b
+    wrong = (1 - a) * (1 - b) / WRONG
+
+    def odds(origin: Column) -> Column:
+        x = same_true * F.ln((origin * COPIED + both * (1 - COPIED)) / both)
+        x = x + same_false * F.ln(((1 - origin) * COPIED + wrong * (1 - COPIED)) / wrong) + differ * F.lit(math.log(1 - COPIED))
+        return x + math.log(COPIER / 2 / (1 - COPIER))
+
+    first, second = odds(b), odds(a)
+    top = F.greatest(first, second, F.lit(0.0))
+    total = F.exp(first - top) + F.exp(second - top) + F.exp(-top)
+    return F.exp(first - top) / total, F.exp(second - top) / total
 
 
 class Model:
-    """Accuracies of sources and dependence of pairs; both as large as the number of sources allows."""
-
-    def __init__(self, accuracy: dict[str, float] | None = None, dependence: dict[tuple[str, str], float] | None = None):
-        self.accuracy, self.dependence = accuracy or {}, dependence or {}
-
-    def weight(self, source: str) -> float:
-        a = self.accuracy.get(source, PLAIN)
-        return math.log(WRONG * a / (1 - a))
-
-    def votes(self, pattern: str) -> list[float]:
-        """The discounted vote sum of each value of a pattern."""
-        claims = _parse(pattern)
-        out = [0.0] * (max((v for _, v in claims), default=-1) + 1)
-        before: dict[int, list[str]] = {}
-        for s, v in sorted(claims, key=lambda c: (-self.accuracy.get(c[0], PLAIN), c[0])):
-            free = 1.0
-            for other in before.setdefault(v, []):
-                free *= 1 - COPIED * self.dependence.get((min(s, other), max(s, other)), 0.0)
-            out[v] += self.weight(s) * free
-            before[v].append(s)
-        return out
-
-    @staticmethod
-    def posterior(votes: list[float]) -> list[float]:
-        top = max([0.0, *votes])
-        e = [math.exp(v - top) for v in votes]
-        rest = max(0.0, WRONG + 1 - len(votes)) * math.exp(-top)
-        return [x / (sum(e) + rest) for x in e]
-
-    @staticmethod
-    def copying(a: float, b: float, same_true: float, same_false: float, differ: float) -> float:
-        """The chance that two sources of accuracies a and b depend on each other."""
-        both = a * b
-        wrong = (1 - a) * (1 - b) / WRONG
-        apart = max(1e-9, 1 - both - wrong)
-        m = (a + b) / 2
-        x = same_true * math.log((m * COPIED + both * (1 - COPIED)) / both)
-        x += same_false * math.log(((1 - m) * COPIED + wrong * (1 - COPIED)) / wrong)
-        x += differ * math.log(1 - COPIED)
-        odds = math.log(COPIER / (1 - COPIER)) + x
-        return 1 / (1 + math.exp(-max(-50.0, min(50.0, odds))))
-
-
-def _evidence(model: Model):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows: dict[tuple[str, str], list[float]] = {}
-            for pattern, n in zip(pdf["pattern"], pdf["n"], strict=True):
-                claims = _parse(pattern)
-                p = model.posterior(model.votes(pattern))
-                true = max(range(len(p)), key=lambda v: (p[v], -v))
-                for i, (s, v) in enumerate(claims):
-                    r = rows.setdefault((s, "\0"), [0.0, 0.0, 0.0])
-                    r[0] += n * p[v]
-                    r[1] += n
-                    for t, w in claims[i + 1 :]:
-                        r = rows.setdefault((min(s, t), max(s, t)), [0.0, 0.0, 0.0])
-                        r[0 if v == w == true else 1 if v == w else 2] += n
-            yield pd.DataFrame([(a, b, *r) for (a, b), r in rows.items()], columns=["a", "b", "x", "y", "z"])
-
-    return run
+    """accuracy: (s, a), a row per source; dependence: (s, t, st, ts), s < t, a row per pair of sources that
+    meet: the chances that s copies t and t copies s. The first model has neither: all sources are PLAIN
+    and independent."""
+
+    def __init__(self, accuracy: DataFrame | None = None, dependence: DataFrame | None = None):
+        self.accuracy, self.dependence = accuracy, dependence
+
+    def _with_accuracy(self, df: DataFrame, source: str, to: str) -> DataFrame:
+        if self.accuracy is None:
+            return df.withColumn(to, F.lit(PLAIN))
+        a = self.accuracy.select(F.col("s").alias(source), F.col("a").alias(to))
+        return lookup_join(df, a, [source], salt_on=["pid"], how="left").withColumn(to, F.coalesce(to, F.lit(PLAIN)))
+
+    def scores(self, patterns: DataFrame) -> DataFrame:
+        """(pid, votes, posterior): of each value of a pattern the discounted vote sum and the posterior. Of
+        sources with the same value the more accurate votes first (ties: the smaller name)."""
+        claims = self._with_accuracy(patterns.select("pid", F.explode("pattern").alias("c")).select("pid", "c.*"), "s", "a")
+        claims = claims.withColumn("weight", F.ln(F.lit(WRONG) * F.col("a") / (1 - F.col("a"))))
+        if self.dependence is not None:
+            same = lookup_join(source_pairs(patterns).where("vs = vt"), self.dependence, ["s", "t"], salt_on=["pid"])
+            same = self._with_accuracy(self._with_accuracy(same, "s", "as"), "t", "at")
+            second = F.when(F.col("at") > F.col("as"), F.col("s")).otherwise(F.col("t"))
+            free = same.groupBy("pid", second.alias("s")).agg(F.sum(F.ln(1 - COPIED * (F.col("st") + F.col("ts")))).alias("free"))
+            claims = claims.join(free, ["pid", "s"], "left").withColumn("weight", F.col("weight") * F.exp(F.coalesce("free", F.lit(0.0))))
+        sums = claims.groupBy("pid", "v").agg(F.sum("weight").alias("w"))
+        votes = sums.groupBy("pid").agg(F.array_sort(F.collect_list(F.struct("v", "w"))).alias("x")).select("pid", F.transform("x", lambda e: e["w"]).alias("votes"))
+        top = F.greatest(F.array_max("votes"), F.lit(0.0))
+        raised = F.transform("votes", lambda w: F.exp(w - top))
+        rest = F.greatest(F.lit(0.0), WRONG + 1 - F.size("votes")) * F.exp(-top)
+        total = F.aggregate(raised, F.lit(0.0), lambda x, y: x + y) + rest
+        return votes.select("pid", "votes", F.transform(raised, lambda e: e / total).alias("posterior"))
 
 
 def fit(patterns: DataFrame, rounds: int = ROUNDS) -> Model:
-    """Accuracies and dependences from counted patterns. Only sums per source and per pair come back. The
-    first round takes all sources as equally accurate and looks for copiers only: else copiers that
-    outvote the others would pass for accurate before they are seen to copy."""
+    """The model of counted patterns. The first round takes all sources as equally accurate and looks for
+    copiers only: else copiers that outvote the others would pass for accurate before they are seen to
+    copy. Sharing true values is no evidence in that round, as the accuracies that would explain it aren't
+    known yet."""
     model = Model()
     for k in range(rounds):
-        sums = patterns.mapInPandas(_evidence(model), "a string, b string, x double, y double, z double").groupBy("a", "b").agg(F.sum("x").alias("x"), F.sum("y").alias("y"), F.sum("z").alias("z")).collect()
-        accuracy = {r.a: min(HIGH, max(LOW, r.x / r.y)) if k else PLAIN for r in sums if r.b == "\0" and r.y}
-        model = Model(accuracy, {(r.a, r.b): Model.copying(accuracy[r.a], accuracy[r.b], r.x, r.y, r.z) for r in sums if r.b != "\0"})
+        scores = materialize(model.scores(patterns), "fusion-scores")
+        true = F.array_position("posterior", F.array_max("posterior")) - 1
+        judged = scores.select("pid", "posterior", true.cast("int").alias("true"))
+        if k:
+            claims = patterns.join(judged, "pid").select("n", "posterior", F.explode("pattern").alias("c"))
+            mean = F.sum(F.col("n") * F.get("posterior", F.col("c.v"))) / F.sum("n")
+            accuracy = materialize(claims.groupBy(F.col("c.s").alias("s")).agg(F.least(F.lit(HIGH), F.greatest(F.lit(LOW), mean)).alias("a")), "fusion-accuracy")
+        else:
+            accuracy = None
+        same, right = F.col("vs") == F.col("vt"), F.col("vs") == F.col("true")
+        pairs = source_pairs(patterns).join(judged.select("pid", "true"), "pid")
+        counted = pairs.groupBy("s", "t").agg(
+            F.sum(F.when(same & right, F.col("n")).otherwise(0)).alias("same_true"), F.sum(F.when(same & ~right, F.col("n")).otherwise(0)).alias("same_false"), F.sum(F.when(~same, F.col("n")).otherwise(0)).alias("differ"), F.min("pid").alias("pid"),
+        )
+        now = Model(accuracy)
+        rated = now._with_accuracy(now._with_accuracy(counted, "s", "as"), "t", "at")
+        st, ts = copying(F.col("as"), F.col("at"), F.col("same_true") if k else F.lit(0), F.col("same_false"), F.col("differ"))
+        model = Model(accuracy, materialize(rated.select("s", "t", st.alias("st"), ts.alias("ts"), "same_true", "same_false", "differ"), "fusion-dependence"))
     return model
 
 
-def _score(model: Model):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            votes = [model.votes(p) for p in pdf["pattern"]]
-            yield pd.DataFrame({"pattern": pdf["pattern"], "votes": votes, "posterior": [model.posterior(v) for v in votes]})
-
-    return run
-
-
-def fuse(rows: DataFrame, group: str, source: str, row_id: str, prefer: list[str], value: str, prior: str = "ordered", rounds: int = ROUNDS) -> DataFrame:
+def fuse(rows: DataFrame, group: str, source: str, row_id: str, prefer: list[str], value: str, rounds: int = ROUNDS) -> DataFrame:
     """One row per group of two or more: (grp, n_rows, n_sources, group_row_id, survivor_row_id,
     value_row_id, fused_value, probability).
 
     The survivor is the first row in the order of preference; the fused value is the one of greatest
-    posterior and value_row_id the first row that has it, or -1 where no row knows a value (fused_value
-    and probability are then null). probability is the posterior by the votes alone. A null source is a
-    source of its own; equal posteriors go to the value that comes first in the order of preference. Columns of rows that aren't named are never read. An
-    empty input gives no rows.
+    posterior, value_row_id the first row that has it, or -1 where no row knows a value (fused_value and
+    probability are then null). A null source is a source of its own; equal posteriors go to the value that
+    comes first in the order of preference. Columns of rows that aren't named are never read. An empty
+    input gives no rows.
     """
-    if prior not in ("ordered", "flat"):
-        raise ValueError(f"prior: {prior}")
     groups = materialize(group_claims(source_claims(rows, group, source, row_id, prefer, value), source, prefer), "fusion-groups")
-    patterns = materialize(groups.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")), "fusion-patterns")
-    model = fit(patterns.where("pattern != ''"), rounds)
-    scores = patterns.mapInPandas(_score(model), "pattern string, votes array<double>, posterior array<double>")
-    # No claim votes with more than this, so one rank of prior outweighs the votes of all sources.
-    step = 0.0 if prior == "flat" else 1 + max(1, len(model.accuracy)) * math.log(WRONG * HIGH / (1 - HIGH))
+    patterns = count_patterns(groups)
+    scores = fit(patterns, rounds).scores(patterns).join(patterns.select("pid", "pattern"), "pid").select("pattern", "votes", "posterior")
     place = F.sequence(F.lit(0), F.size("values") - 1)
-    ranked = F.transform(place, lambda i: F.struct((F.get("votes", i) - i * F.lit(step)).alias("odds"), (-i).alias("i")))
+    ranked = F.transform(place, lambda i: F.struct(F.get("votes", i).alias("w"), (-i).alias("i")))
     top = F.when(F.size("values") > 0, -F.array_max(ranked)["i"])
-    joined = lookup_join(groups, scores, ["pattern"], salt_on=["grp"]).withColumn("_top", top).withColumn("fused_value", F.get("values", F.col("_top")))
+    joined = lookup_join(groups, materialize(scores, "fusion-posteriors"), ["pattern"], salt_on=["grp"], how="left").withColumn("_top", top).withColumn("fused_value", F.get("values", F.col("_top")))
     # Every source that claims the value has its first such row in known, which is in the order of preference.
     holder = F.get(F.filter("known", lambda x: x["k"]["v"] == F.col("fused_value")), F.lit(0))
     return joined.select(
