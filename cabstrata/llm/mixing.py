@@ -24,6 +24,9 @@ from cabstrata.operators.sizing import lookup_join
 from cabstrata.session import materialize
 
 HASH_RANGES = 4096
+#: Sets of sources that are routed as such. Up to nine sources have no more; of further sources' sets those with
+#: the most tokens, while texts of all others count for each of their sources by itself.
+MAX_PATTERNS = 512
 
 
 def min_cost_flow(n: int, arcs: list[tuple[int, int, int, int]], source: int, sink: int) -> list[int]:
@@ -94,7 +97,7 @@ def route(held: dict[tuple[str, str], int], distinct: dict[str, int], targets: d
 def sized_documents(documents: DataFrame, targets: DataFrame, path: str | None = None) -> DataFrame:
     """(doc_id, source, pattern, text_key, n_tokens) of the documents of the target sources, written
     once to the shared folder. Null sources have no target and are no part of the mix."""
-    known = documents.join(F.broadcast(targets.select("source").distinct()), "source", "left_semi")
+    known = documents.where(F.col("source").isin(list(read_targets(targets))))
     keyed = known.select("doc_id", "source", F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("text_key"), "text")
     sizes = materialize(count_tokens(keyed, ["doc_id", "source", "text_key"], "text", path), "mix-sizes")
     shared = sizes.groupBy("text_key").agg(F.array_join(F.array_sort(F.collect_set("source")), "|").alias("pattern"), F.count_distinct("source").alias("k")).where("k > 1").select("text_key", "pattern")
@@ -102,12 +105,23 @@ def sized_documents(documents: DataFrame, targets: DataFrame, path: str | None =
     return materialize(joined.withColumn("pattern", F.coalesce("pattern", "source")), "mix-documents")
 
 
+def routed_patterns(sized: DataFrame, sources: int) -> DataFrame:
+    """The documents with at most MAX_PATTERNS + sources patterns. Every document stays and can be selected;
+    a text whose set of sources isn't among those kept is only no longer known to be in several sources,
+    which bears on the cost of its exposures."""
+    if 2**sources - 1 <= MAX_PATTERNS:
+        return sized
+    most = sized.groupBy("pattern").agg(F.sum("n_tokens").alias("t")).orderBy(F.col("t").desc(), "pattern").limit(MAX_PATTERNS).select("pattern", F.lit(True).alias("_kept"))
+    return sized.join(F.broadcast(most), "pattern", "left").withColumn("pattern", F.when(F.col("_kept"), F.col("pattern")).otherwise(F.col("source"))).drop("_kept")
+
+
 def select_mix(sized: DataFrame, targets: dict[str, tuple[float, int]], seed: int = 42, total: int | None = None) -> DataFrame:
     """(doc_id, source, n_tokens, repeats) of the documents used at least once. repeats never exceeds the
     source's max_repeats; a source misses its quota by at most half a document per pattern. The same
     seed and data give the same selection, however they are partitioned. Documents without tokens fill
     no quota and aren't selected."""
-    sums = sized.groupBy("pattern", "source").agg(F.sum("n_tokens").alias("t")).collect()  # one row per set of sources and member
+    sized = routed_patterns(sized, len(targets))
+    sums = sized.groupBy("pattern", "source").agg(F.sum("n_tokens").alias("t")).collect()  # at most MAX_PATTERNS x sources
     distinct = sized.groupBy("pattern", "text_key").agg(F.max("n_tokens").alias("t")).groupBy("pattern").agg(F.sum("t").alias("t")).collect()
     held = {(r.pattern, r.source): r.t for r in sums if r.t}
     flow = route(held, {r.pattern: r.t for r in distinct}, targets, total)
@@ -131,9 +145,12 @@ def read_targets(targets: DataFrame) -> dict[str, tuple[float, int]]:
 
 def mix_report(selection: DataFrame, sized: DataFrame, targets: DataFrame) -> DataFrame:
     """Per source of the targets: documents and tokens there, documents used, tokens reached with
-    repeats, the most one document is used, the share reached and its distance from the target."""
+    repeats, the most one document is used, the share reached and its distance from the target. A source
+    without tokens can reach nothing; reachable_share is the target among the sources that have some."""
     there = sized.groupBy("source").agg(F.count(F.lit(1)).alias("documents"), F.sum("n_tokens").alias("tokens"))
     used = selection.groupBy("source").agg(F.count(F.lit(1)).alias("documents_used"), F.sum(F.col("n_tokens") * F.col("repeats")).alias("tokens_used"), F.max("repeats").alias("most_repeats"))
-    j = targets.join(F.broadcast(there), "source", "left").join(F.broadcast(used), "source", "left").na.fill(0, ["documents", "tokens", "documents_used", "tokens_used", "most_repeats"])
-    share = F.col("tokens_used") / F.nullif(F.sum("tokens_used").over(Window.partitionBy(F.lit(1))), F.lit(0))
-    return j.withColumn("share", share).withColumn("off_target", F.col("share") - F.col("target_share"))
+    j = targets.join(there, "source", "left").join(used, "source", "left").na.fill(0, ["documents", "tokens", "documents_used", "tokens_used", "most_repeats"])
+    whole = Window.partitionBy(F.lit(1))
+    share = F.col("tokens_used") / F.nullif(F.sum("tokens_used").over(whole), F.lit(0))
+    able = F.when((F.col("tokens") > 0) & (F.col("max_repeats") > 0), F.col("target_share"))
+    return j.withColumns({"share": share, "reachable_share": able / F.sum(able).over(whole)}).withColumn("off_target", F.col("share") - F.col("target_share"))

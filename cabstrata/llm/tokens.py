@@ -1,19 +1,22 @@
 """Byte-level BPE of a public vocabulary, in numpy.
 
-Texts are split by the vocabulary's pattern; each different piece of a batch is encoded once. Pieces
-are bucketed by length into padded matrices of symbol ids. In every round each row merges its leftmost
-pair of least rank: ranks come from a hash table of pairs, the row closes the gap, rows without a pair
-left are written out and dropped from the matrix. A piece longer than the widest bucket is a row of its
-own, in which all places of the least pair merge in one round, from the left; Vocabulary checks that
-this gives the same (no merge makes a pair of lower rank).
+Texts are split by the vocabulary's pattern; each different text and each different piece of a batch is
+encoded once. Pieces are bucketed by length into padded matrices of symbol ids. In every round each row
+merges its leftmost pair of least rank: ranks come from a hash table of pairs, the row closes the gap,
+rows without a pair left are written out and dropped from the matrix.
+
+That takes a round per merge over the whole row, so the square of a piece's length. Pieces beyond the widest
+bucket (runs of blanks, encoded blobs) are rows of their own in which all places of the least pair merge in
+one round, from the left; Vocabulary checks that this gives the same (no merge makes a pair of lower rank).
 """
 
 from __future__ import annotations
 
 import json
 import os
+import sys
+import types
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,11 +26,11 @@ from pyspark.sql import DataFrame
 DEFAULT_DIR = "/opt/tokenizers"
 # Fixed value: the split pattern of the byte-level vocabularies.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-WIDTHS = (2, 4, 6, 8, 12, 16, 24, 32, 64, 128)
+WIDTHS = (2, 4, 6, 8, 12, 16, 24, 32, 64, 128, 256, 512, 1024, 2048)
 #: Different pieces kept between batches of a task.
 KEPT_PIECES = 300_000
-#: Rows of a bucket encoded at once: bounds a worker's memory.
-BLOCK = 16_384
+#: Symbols of a bucket encoded at once: bounds a worker's memory.
+BLOCK = 1 << 20
 _FREE = np.int64(-1)
 _NONE = np.int32(2**31 - 1)
 
@@ -101,8 +104,9 @@ class Vocabulary:
         low = 1
         for width in WIDTHS:
             bucket = np.flatnonzero((lengths > low) & (lengths <= width))
-            for k in range(0, len(bucket), BLOCK):
-                self._bucket(raw, bucket[k : k + BLOCK], lengths, width, out)
+            rows = max(1, BLOCK // width)
+            for k in range(0, len(bucket), rows):
+                self._bucket(raw, bucket[k : k + rows], lengths, width, out)
             low = width
         for i in np.flatnonzero(lengths > low):
             out[i] = self._long(self.byte_ids[np.frombuffer(raw[i], np.uint8)])
@@ -150,9 +154,13 @@ class Vocabulary:
         return ids
 
 
-@lru_cache(2)
 def vocabulary(path: str) -> Vocabulary:
-    return Vocabulary(path)
+    """Kept for as long as the process lives. Workers get this module's functions by value, so what they keep
+    can't stand in the module."""
+    kept = sys.modules.setdefault("_kept_vocabularies", types.ModuleType("_kept_vocabularies")).__dict__
+    if path not in kept:
+        kept[path] = Vocabulary(path)
+    return kept[path]
 
 
 class Encoder:
@@ -162,12 +170,13 @@ class Encoder:
         self.vocab, self.known = vocabulary(path), {}
 
     def __call__(self, texts: list[str | None]) -> list[list[int]]:
-        split = [self.vocab.split.findall(t) if t else [] for t in texts]
-        fresh = list({p for s in split for p in s}.difference(self.known))
+        once = {t: self.vocab.split.findall(t) if t else [] for t in dict.fromkeys(texts)}
+        fresh = list({p for s in once.values() for p in s}.difference(self.known))
         if len(self.known) + len(fresh) > KEPT_PIECES:
-            self.known, fresh = {}, list({p for s in split for p in s})
+            self.known, fresh = {}, list({p for s in once.values() for p in s})
         self.known.update(zip(fresh, (x.tolist() for x in self.vocab.encode_pieces(fresh)), strict=True))
-        return [[i for p in s for i in self.known[p]] for s in split]
+        ids = {t: [i for p in s for i in self.known[p]] for t, s in once.items()}
+        return [ids[t] for t in texts]
 
 
 def vocabulary_path(name: str = "byte_bpe_50k", folder: str | None = None) -> str:

@@ -64,3 +64,14 @@ def test_nothing(spark):
     picked = mixing.select_mix(sized, mixing.read_targets(targets))
     assert picked.count() == 0
     assert {r.source: (r.documents, r.share) for r in mixing.mix_report(picked, sized, targets).collect()} == {s: (0, None) for s, _, _ in TARGETS}
+
+
+def test_many_sources_are_bounded_and_whole(spark, monkeypatch):
+    """More sets of sources than are routed: every document can still be selected, shares and caps hold."""
+    monkeypatch.setattr(mixing, "MAX_PATTERNS", 3)
+    docs, targets = inputs(spark)
+    sized = mixing.sized_documents(docs, targets)
+    routed = mixing.routed_patterns(sized, 3)
+    assert routed.count() == 400 and routed.select("pattern").distinct().count() <= 3 + 3 and sized.select("pattern").distinct().count() > routed.select("pattern").distinct().count()
+    report = {r.source: r for r in mixing.mix_report(mixing.select_mix(sized, mixing.read_targets(targets)), sized, targets).collect()}
+    assert all(abs(r.off_target) < 0.03 and r.most_repeats <= dict((s, m) for s, _, m in TARGETS)[s] for s, r in report.items())

@@ -29,7 +29,7 @@ def test_any_text(reference, texts):
 
 def test_bucket_and_long_row_agree():
     v = tokens.vocabulary(PATH)
-    for piece in ("a" * 90, "abab" * 20, "tokenization" * 5, "é" * 40):
+    for piece in ("a" * 90, "a" * 3000, "=-" * 700, "xyz" * 500, "abab" * 20, "tokenization" * 5, "é" * 40):
         (bucket,) = v.encode_pieces([piece])
         assert bucket.tolist() == v._long(v.byte_ids[np.frombuffer(piece.encode(), np.uint8)]).tolist()
 
@@ -59,3 +59,42 @@ def test_a_vocabulary_that_would_differ_is_refused(tmp_path):
     p.write_text(json.dumps({"model": {"vocab": vocab, "merges": [["ab", "c"], ["a", "b"]]}}))
     with pytest.raises(ValueError):
         tokens.Vocabulary(str(p))
+
+
+class Columns:
+    """Stands for a table and gives back the function that its workers would get."""
+
+    dtypes = [("k", "bigint"), ("t", "string")]
+
+    def select(self, *_):
+        return self
+
+    def mapInArrow(self, f, _):
+        return f
+
+
+def test_workers_need_no_package(tmp_path):
+    """What a worker is sent runs where this package isn't installed."""
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    from cabstrata.llm import lookalike
+
+    work = [tokens.encode(Columns(), "k", "t"), tokens.count_tokens(Columns(), ["k"], "t"), lookalike.canonical_texts(Columns(), "k", "t", hashed=True)]
+    f = tmp_path / "f"
+    f.write_bytes(cloudpickle.dumps((work, TEXTS)))
+    code = """
+import pickle, sys
+import pyarrow as pa
+work, texts = pickle.load(open(sys.argv[1], "rb"))
+b = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["k", "t"])
+got = [[x for out in w(iter([b, b])) for x in out.column(1).to_pylist()] for w in work]
+assert "cabstrata" not in " ".join(sys.modules)
+print(sum(map(len, got[0])), sum(got[1]), len(got[2]))
+"""
+    done = subprocess.run([sys.executable, "-c", code, str(f)], cwd=tmp_path, env={"PATH": "/usr/bin"}, capture_output=True, text=True)
+    assert done.returncode == 0, done.stderr
+    n = 2 * sum(map(len, tokens.Encoder(PATH)(TEXTS)))
+    assert done.stdout.split() == [str(n), str(n), str(2 * len(TEXTS))]
