@@ -88,6 +88,11 @@ def reconcile(fact: DataFrame, mart: DataFrame, period: list[str], name: str) ->
     return j.where("mart_count != fact_count").select(F.lit(name).alias("mart"), *period, "fact_count", "mart_count", (F.col("fact_count") - F.col("mart_count")).alias("diff"))
 
 
+def reconcile_all(fact: DataFrame, marts: dict[str, DataFrame], period: list[str]) -> DataFrame:
+    """Months in which any of the marts doesn't add up to the facts: what is still to be built again."""
+    return reduce(lambda a, b: a.unionByName(b), [reconcile(fact, m, period, name) for name, m in marts.items()])
+
+
 def freshness(df: DataFrame, column: str, now: str, warn_days: int = 45, error_days: int = 75) -> DataFrame:
     """One row: the last load, its age in days at `now` (a timestamp text), and pass, warn or error. A
     table without a load time is an error."""

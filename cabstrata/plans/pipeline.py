@@ -158,16 +158,15 @@ def checked_tables(lake: Lake, zones: DataFrame, months: set[str]) -> dict:
     return tables | more
 
 
+def monthly_marts(read) -> dict[str, DataFrame]:
+    """The four marts of months and days by name, with their months; read gives a mart by its name."""
+    daily = read("agg_zone_supply_gaps_daily").withColumns({"pickup_year": F.year("pickup_date"), "pickup_month": F.month("pickup_date")})
+    return {m: read(m) for m in ("agg_hourly_demand_monthly", "agg_zone_revenue_monthly", "agg_zone_tip_behaviour_monthly")} | {"agg_zone_supply_gaps_daily": daily}
+
+
 def pending_rebuilds(lake: Lake, schema: str = PUBLISHED) -> DataFrame:
     """Months in which a mart doesn't add up to the facts."""
-    fact = lake.read(schema, "fct_trips")
-    period = ["pickup_year", "pickup_month"]
-    daily = lake.read(schema, "agg_zone_supply_gaps_daily").withColumns({"pickup_year": F.year("pickup_date"), "pickup_month": F.month("pickup_date")})
-    parts = [dq.reconcile(fact, lake.read(schema, m), period, m) for m in ("agg_hourly_demand_monthly", "agg_zone_revenue_monthly", "agg_zone_tip_behaviour_monthly")]
-    out = dq.reconcile(fact, daily, period, "agg_zone_supply_gaps_daily")
-    for p in parts:
-        out = out.unionByName(p)
-    return out
+    return dq.reconcile_all(lake.read(schema, "fct_trips"), monthly_marts(lambda m: lake.read(schema, m)), ["pickup_year", "pickup_month"])
 
 
 def run_month(lake: Lake, origin: str, mirror: str, zones: DataFrame, month: Month, at: str | None = None, tolerance: float = 0.40, least: int = 10_000) -> str:

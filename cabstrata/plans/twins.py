@@ -89,7 +89,7 @@ TY = f"""ty AS (SELECT pickup_year, pu_location_id, distance_bucket, payment_typ
   {money("total_tip_amount")} AS total_tip_amount, {money("total_fare_amount")} / nullif(sum(trip_count), 0)::DOUBLE AS avg_fare, {money("total_tip_amount")} / nullif(sum(trip_count), 0)::DOUBLE AS avg_tip, {weighted("avg_tip_pct_credit")}
   FROM tm GROUP BY 1, 2, 3, 4)"""
 FACT = "WITH fact AS (SELECT * FROM int_trips_enriched)"
-LIVE = f"fact AS (SELECT * FROM int_trips_enriched WHERE pickup_year < {YEAR} OR (pickup_year = {YEAR} AND pickup_month <= 3))"
+LIVE = "fact AS (SELECT * FROM int_trips_enriched)"
 QUARANTINE = STAGED + f""",
 q AS (SELECT st.*, md5(concat_ws('-', coalesce(vendor_id::VARCHAR, '_null_'), coalesce(strftime(pickup_ts, '%Y-%m-%d %H:%M:%S'), '_null_'), coalesce(strftime(dropoff_ts, '%Y-%m-%d %H:%M:%S'), '_null_'), coalesce(pu_location_id::VARCHAR, '_null_'),
   coalesce(do_location_id::VARCHAR, '_null_'), coalesce(fare_amount::DECIMAL(18,4)::VARCHAR, '_null_'), coalesce(total_amount::DECIMAL(18,4)::VARCHAR, '_null_'), coalesce(source_filename, '_null_'))) AS quarantine_key
@@ -100,7 +100,7 @@ m AS (SELECT a.trip_bk, ({" OR ".join(f"a.{c.strip()} IS DISTINCT FROM b.{c.stri
 v AS (SELECT a.trip_bk, {CHECKED.replace("fare_amount", "a.fare_amount", 1)}, TIMESTAMP '2025-01-01' AS valid_from, CASE WHEN changed THEN TIMESTAMP '2026-06-01' END AS valid_to FROM a JOIN m USING (trip_bk)
   UNION ALL SELECT b.trip_bk, {CHECKED}, TIMESTAMP '2026-06-01', NULL FROM b LEFT JOIN m USING (trip_bk) WHERE coalesce(changed, true))"""
 DAGG = f"""da AS (SELECT pickup_date, pickup_hour, pu_location_id, payment_type, count(*) AS trip_count, {money("total_amount")} AS gross_revenue, {money("fare_amount")} AS total_fare, {money("tip_amount")} AS total_tip,
-  {money("trip_distance")} AS total_distance_mi, sum(round(trip_duration_min * 60)::BIGINT)::BIGINT AS total_duration_sec FROM h GROUP BY 1, 2, 3, 4)"""
+  {money("trip_distance")} AS total_distance_mi, sum(round(trip_duration_min * 60)::BIGINT)::BIGINT AS total_duration_sec, count(DISTINCT vendor_id) AS distinct_vendors FROM h GROUP BY 1, 2, 3, 4)"""
 TDAY = f"""td AS (SELECT pickup_date, pu_location_id, {BUCKET} AS distance_bucket, payment_type, count(*) AS trip_count, {money("fare_amount")} AS total_fare, {money("tip_amount")} AS total_tip, {money("trip_distance")} AS total_distance_mi FROM h GROUP BY 1, 2, 3, 4)"""
 
 SQL = {
@@ -140,27 +140,28 @@ FROM st LEFT JOIN dim_zones p ON p.location_id = pu_location_id LEFT JOIN dim_zo
     "enrich_role_playing": """SELECT trip_bk, t.pu_location_id, t.do_location_id, p.borough AS pu_borough, p.zone_name AS pu_zone, p.service_zone AS pu_service_zone, o.borough AS do_borough, o.zone_name AS do_zone, o.service_zone AS do_service_zone
 FROM int_trips_enriched t LEFT JOIN dim_zones p ON p.location_id = t.pu_location_id LEFT JOIN dim_zones o ON o.location_id = t.do_location_id""",
     "daily_agg_historical": f"WITH{HIST}, {DAGG} SELECT * FROM da",
-    "daily_distinct_vendors": f"WITH{HIST_YEAR} SELECT pickup_date, count(DISTINCT vendor_id) AS vendors FROM h GROUP BY 1",
-    "tip_behaviour_historical": f"WITH{HIST_YEAR}, {TDAY} SELECT * FROM td",
-    "supply_gaps_historical": f"WITH{HIST_YEAR}, {gaps('h', True, zones=False)} SELECT * FROM gd",
-    "union_priority_q1": f"""WITH {LIVE}, {ZM},{HIST_YEAR}, {DAGG},
+    "daily_agg_of_a_year": f"WITH{HIST_YEAR}, {DAGG} SELECT * FROM da",
+    "lake_history": f"WITH{HIST}, {DAGG} SELECT * FROM da",
+    "tip_behaviour_historical": f"WITH{HIST}, {TDAY} SELECT * FROM td",
+    "supply_gaps_historical": f"WITH{HIST}, {gaps('h', True, zones=False)} SELECT * FROM gd",
+    "union_priority_q1": f"""WITH {LIVE}, {ZM},{HIST}, {DAGG},
 u AS (SELECT 'live' AS source, 0 AS o, pickup_year, pickup_month, pu_location_id, trip_count, gross_revenue FROM zm UNION ALL
   SELECT 'historical', 1, year(pickup_date)::INT, month(pickup_date)::INT, pu_location_id, sum(trip_count)::BIGINT, {money("gross_revenue")} FROM da GROUP BY 3, 4, 5),
 x AS (SELECT * FROM u QUALIFY row_number() OVER (PARTITION BY pickup_year, pickup_month, pu_location_id ORDER BY o) = 1)
 SELECT pickup_year, pickup_month, pu_location_id, trip_count, {rnd("gross_revenue", 0)} AS revenue_usd, rank() OVER (PARTITION BY pickup_year, pickup_month ORDER BY gross_revenue DESC NULLS LAST) AS revenue_rank_in_month, source FROM x QUALIFY revenue_rank_in_month <= 20""",
-    "union_priority_q2": f"""WITH {LIVE}, {HM},{HIST_YEAR}, {DAGG},
+    "union_priority_q2": f"""WITH {LIVE}, {HM},{HIST}, {DAGG},
 u AS (SELECT 0 AS o, pickup_year, pickup_month, pickup_dow, pickup_hour, trip_count, avg_fare * trip_count AS fare FROM hm UNION ALL
   SELECT 1, year(pickup_date)::INT, month(pickup_date)::INT, isodow(pickup_date)::INT, pickup_hour, sum(trip_count)::BIGINT, {money("total_fare")} FROM da GROUP BY 2, 3, 4, 5),
 x AS (SELECT * FROM u QUALIFY row_number() OVER (PARTITION BY pickup_year, pickup_month, pickup_dow, pickup_hour ORDER BY o) = 1)
 SELECT pickup_year, pickup_dow, pickup_hour, sum(trip_count)::BIGINT AS trip_count, {rnd("(sum(fare::DECIMAL(18,6))::DOUBLE / nullif(sum(trip_count), 0)::DOUBLE)", 2, 6)} AS avg_fare_usd FROM x GROUP BY 1, 2, 3""",
-    "union_priority_q3": f"""WITH {LIVE}, {gaps("fact")},{HIST_YEAR}, {gaps("h", True, "gh", False)},
+    "union_priority_q3": f"""WITH {LIVE}, {gaps("fact")},{HIST}, {gaps("h", True, "gh", False)},
 u AS (SELECT 0 AS o, pickup_date, pu_location_id, trip_count, longest_gap_min::DOUBLE AS longest_gap_min, gaps_gt_1h, gaps_gt_3h FROM gd UNION ALL SELECT 1, pickup_date, pu_location_id, trip_count, longest_gap_min, gaps_gt_1h, gaps_gt_3h FROM gh),
 x AS (SELECT * FROM u QUALIFY row_number() OVER (PARTITION BY pickup_date, pu_location_id ORDER BY o) = 1),
 g AS (SELECT year(pickup_date)::INT AS pickup_year, pu_location_id, count(DISTINCT pickup_date) AS days_with_trips, sum(trip_count)::BIGINT AS total_trips, {rnd("max(longest_gap_min)", 0, 6)} AS longest_gap_min_year, {mean("longest_gap_min", 6)} AS a,
   count(*) FILTER (WHERE gaps_gt_1h > 0) AS days_with_gap_over_60min, count(*) FILTER (WHERE gaps_gt_3h > 0) AS days_with_gap_over_3h FROM x WHERE pu_location_id IS NOT NULL GROUP BY 1, 2)
 SELECT pickup_year, pu_location_id, days_with_trips, total_trips, longest_gap_min_year, {rnd("a", 1, 6)} AS avg_longest_gap_per_day, days_with_gap_over_60min, days_with_gap_over_3h,
 rank() OVER (PARTITION BY pickup_year ORDER BY days_with_gap_over_3h DESC, a DESC NULLS LAST) AS underserved_rank FROM g WHERE days_with_trips >= 30 AND total_trips >= 100 QUALIFY underserved_rank <= 20""",
-    "union_priority_q4": f"""WITH {LIVE}, {TM},{HIST_YEAR}, {TDAY},
+    "union_priority_q4": f"""WITH {LIVE}, {TM},{HIST}, {TDAY},
 u AS (SELECT 0 AS o, pickup_year, pickup_month, pu_location_id, distance_bucket, payment_type, trip_count, total_fare_amount AS f, total_tip_amount AS t FROM tm UNION ALL
   SELECT 1, year(pickup_date)::INT, month(pickup_date)::INT, pu_location_id, distance_bucket, payment_type, sum(trip_count)::BIGINT, {money("total_fare")}, {money("total_tip")} FROM td GROUP BY 2, 3, 4, 5, 6),
 x AS (SELECT * FROM u QUALIFY row_number() OVER (PARTITION BY pickup_year, pickup_month, pu_location_id, distance_bucket, payment_type ORDER BY o) = 1)
@@ -184,6 +185,17 @@ FROM int_trips_enriched GROUP BY 1, 2 ORDER BY {money("total_amount")} DESC NULL
 SELECT *, abs(trip_count - prev_trip_count)::DOUBLE / nullif(prev_trip_count, 0)::DOUBLE AS pct_change FROM p WHERE trip_count >= 100 AND prev_trip_count >= 100 AND abs(trip_count - prev_trip_count)::DOUBLE / prev_trip_count::DOUBLE > 0.05""",
     "fact_mart_reconciliation": """WITH f AS (SELECT pickup_year, pickup_month, count(*) AS fact_count, count(*) FILTER (WHERE loaded_at < TIMESTAMPTZ '2025-06-01 00:00:00+00') AS mart_count FROM int_trips_enriched GROUP BY 1, 2)
 SELECT 'zone_revenue_monthly' AS mart, pickup_year, pickup_month, fact_count, mart_count, fact_count - mart_count AS diff FROM f WHERE fact_count <> mart_count""",
+    "pending_rebuilds": """WITH f AS (SELECT pickup_year, pickup_month, count(*) AS fact_count, count(*) FILTER (WHERE loaded_at < TIMESTAMPTZ '2025-06-01 00:00:00+00') AS mart_count FROM int_trips_enriched GROUP BY 1, 2)
+SELECT mart, pickup_year, pickup_month, fact_count, mart_count, fact_count - mart_count AS diff FROM f, (VALUES ('agg_hourly_demand_monthly'), ('agg_zone_revenue_monthly'), ('agg_zone_tip_behaviour_monthly'), ('agg_zone_supply_gaps_daily')) m(mart) WHERE fact_count <> mart_count""",
+    "read_raw_files": """SELECT VendorID, tpep_pickup_datetime, tpep_dropoff_datetime, passenger_count, trip_distance, RatecodeID, store_and_fwd_flag, PULocationID, DOLocationID, payment_type, fare_amount, extra, mta_tax, tip_amount, tolls_amount,
+improvement_surcharge, total_amount, congestion_surcharge, airport_fee, CASE WHEN coalesce(PULocationID % 2, 0) <> 1 THEN cbd_congestion_fee END AS cbd_congestion_fee FROM yellow_tripdata""",
+    "lake_versions": f"{SCD2} SELECT trip_bk, fare_amount, payment_type, valid_from, valid_to FROM v",
+    "lake_marts": f"""{STAGED}, fact AS (SELECT st.*, p.borough AS pu_borough, p.zone_name AS pu_zone FROM st LEFT JOIN dim_zones p ON p.location_id = pu_location_id WHERE invalid_reason IS NULL), {gaps('fact')}, {GY}
+SELECT 'revenue' AS mart, pickup_year, pu_location_id, count(*) AS n, {money("total_amount")} AS amount FROM fact GROUP BY 2, 3
+UNION ALL SELECT 'tips', pickup_year, pu_location_id, count(*), {money("tip_amount")} FROM fact GROUP BY 2, 3 UNION ALL SELECT 'gaps', pickup_year, pu_location_id, total_trips, longest_gap_min_year::DOUBLE FROM gy""",
+    "lake_pending": "SELECT NULL::VARCHAR AS mart, NULL::INT AS pickup_year, NULL::INT AS pickup_month, NULL::BIGINT AS fact_count, NULL::BIGINT AS mart_count, NULL::BIGINT AS diff WHERE false",
+    "lake_fingerprints": """WITH f AS (SELECT snapshot_id s, lower(trim(regexp_extract(filename, '([^/]*)$', 1))) n, lower(trim(replace(regexp_replace(trim(etag), '^[wW]/', ''), '"', ''))) e, recorded_at r FROM source_fingerprints WHERE filename IS NOT NULL AND snapshot_id IS NOT NULL)
+SELECT n AS filename, s AS snapshot_id, e AS etag FROM f QUALIFY row_number() OVER (PARTITION BY n ORDER BY s DESC, r DESC NULLS LAST, e DESC NULLS LAST) = 1""",
     "dq_not_null": "SELECT _row_id FROM yellow_tripdata WHERE _loaded_at IS NULL",
     "dq_duplicate_keys": f"SELECT {BK} AS trip_bk, count(*) AS n FROM yellow_tripdata GROUP BY 1 HAVING count(*) > 1",
     "dq_unique_combination": "SELECT _source_filename, tpep_pickup_datetime, PULocationID, count(*) AS n FROM yellow_tripdata WHERE _source_filename IS NOT NULL AND tpep_pickup_datetime IS NOT NULL AND PULocationID IS NOT NULL GROUP BY 1, 2, 3 HAVING count(*) > 1",
@@ -198,3 +210,4 @@ FROM (SELECT max(_loaded_at) AT TIME ZONE 'UTC' AS m FROM yellow_tripdata)""",
 o AS (SELECT n, arg_max(e, (s, r, e)) e FROM f, t WHERE s < m GROUP BY n), c AS (SELECT n, arg_max(e, (r, e)) e FROM f, t WHERE s = m GROUP BY n)
 SELECT coalesce(c.n, o.n) AS filename, CASE WHEN c.e IS NULL THEN 'not_published' WHEN o.e IS NULL THEN 'new' WHEN c.e = o.e THEN 'unchanged' ELSE 'drifted' END AS status FROM c FULL JOIN o ON c.n = o.n""",
 }
+SQL["lake_facts"], SQL["lake_quarantine"] = SQL["fact_trips"], SQL["quarantine_share"]

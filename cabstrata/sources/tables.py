@@ -91,6 +91,10 @@ class Lake:
         t = self._load()["schemas"].get(schema, {}).get(table)
         return {k for k in t["parts"] if _chosen(keys)(k)} if t else set()
 
+    def part_directories(self, schema: str, table: str) -> dict[str, list[str]]:
+        """The directories of each partition; none if there is no such table."""
+        return self._load()["schemas"].get(schema, {}).get(table, {"parts": {}})["parts"]
+
     def pending(self, name: str) -> set[str]:
         """What earlier runs have left to be done."""
         return set(self._load()["pending"].get(name, []))
