@@ -48,3 +48,31 @@ def combined_history(readings: DataFrame, entity: str, at: str, attributes: list
     coalesced = carried.withColumn("_same", values.eqNullSafe(F.lag(values).over(w))).where(~F.col("_same"))
     whole = Window.partitionBy(entity)
     return coalesced.select(entity, *[F.col(f"{a}.v").alias(a) for a in attributes], F.col(at).alias("valid_from"), F.lead(at).over(w).alias("valid_to"), F.count(F.lit(1)).over(whole).alias("versions"))
+
+
+def combine_histories(histories: dict[str, DataFrame], entity: str) -> DataFrame:
+    """(entity, attributes, valid_from, valid_to): histories of attributes from different sources as one.
+
+    histories: attribute -> (entity, value, valid_from, valid_to) as attribute_history gives it, valid_to null
+    while open; each has its own times, may begin later than another and may end. Time is split at the
+    union of all boundaries; an attribute is null where its history says nothing; neighbours that say the
+    same in all attributes are coalesced, and time before the first or without any value beside nulls is
+    part of a version like any other. Versions of no length vanish. Null entities and versions without a
+    beginning are left out; no histories' rows give no rows. Every version is two events, so the
+    histories meet in one grouping on entity and time and share its clustering in the windows.
+    """
+    parts = None
+    for k, (attribute, h) in enumerate(histories.items()):
+        known = h.where(F.col(entity).isNotNull() & F.col("valid_from").isNotNull() & (F.col("valid_to").isNull() | (F.col("valid_to") > F.col("valid_from"))))
+        begin = F.struct(F.col("valid_from").alias("at"), F.lit(True).alias("on"), F.col("value").alias("v"))
+        end = F.struct(F.col("valid_to").alias("at"), F.lit(False).alias("on"), F.nullif(F.col("value"), F.col("value")).alias("v"))
+        e = known.select(entity, F.explode(F.array(begin, end)).alias("_event")).where("_event.at is not null")
+        e = e.select(entity, F.col("_event.at").alias("_at"), F.struct("_event.on", "_event.v").alias(f"_e{k}"))
+        parts = e if parts is None else parts.unionByName(e, allowMissingColumns=True)
+    names = list(histories)
+    met = parts.groupBy(entity, "_at").agg(*[F.max(f"_e{k}").alias(f"_e{k}") for k in range(len(names))])  # a beginning wins over an end
+    w = Window.partitionBy(entity).orderBy("_at")
+    carried = met.select(entity, "_at", *[F.last(f"_e{k}", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)).getField("v").alias(a) for k, a in enumerate(names)])
+    values = F.struct(*names)
+    coalesced = carried.withColumn("_same", values.eqNullSafe(F.lag(values).over(w))).where(~F.col("_same"))
+    return coalesced.select(entity, *names, F.col("_at").alias("valid_from"), F.lead("_at").over(w).alias("valid_to"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cabstrata.functions.keys import trip_key
 from cabstrata.operators import drift, history, profile, skew, snapshots
 from cabstrata.session import load
 
@@ -93,6 +94,15 @@ def p6_fare_history(spark: SparkSession, d: str) -> DataFrame:
     return history.attribute_history(load(spark, d, "snp_yellow_trips"), "trip_bk", "dbt_valid_from", "fare_amount", [F.col("_loaded_at")])
 
 
+def p6_two_sources(spark: SparkSession, d: str) -> DataFrame:
+    """The fare as the snapshot runs read it and the tip as the loads delivered it, each with its own times, as
+    one history of a trip."""
+    fare = p6_fare_history(spark, d)
+    loads = load(spark, d, "yellow_tripdata").select(trip_key().alias("trip_bk"), F.col("_loaded_at").cast("timestamp_ntz").alias("at"), "tip_amount", "_ingest_batch_id", "_row_id")
+    tip = history.attribute_history(loads, "trip_bk", "at", "tip_amount", [F.col("_ingest_batch_id"), -F.col("_row_id")])
+    return history.combine_histories({"fare_amount": fare, "tip_amount": tip}, "trip_bk")
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return drift.schema_changes(load(spark, d, "raw_file_columns"), load(spark, d, "field_catalog"))
 
@@ -123,7 +133,7 @@ def p7_rescued(spark: SparkSession, d: str) -> DataFrame:
     return drift.rescued_report(*_records(spark, d))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_zone_totals, p1_zone_flow, p4_found, p4_load_profile, p4_mask_profile, p4_patterns, p4_ranges, p4_distinct, p5_found, p6_found, p6_fare_history, p7_found, p7_unplaced, p7_records, p7_rescued)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_zone_totals, p1_zone_flow, p4_found, p4_load_profile, p4_mask_profile, p4_patterns, p4_ranges, p4_distinct, p5_found, p6_found, p6_fare_history, p6_two_sources, p7_found, p7_unplaced, p7_records, p7_rescued)}
 
 _IDS = "VendorID, tpep_pickup_datetime, tpep_dropoff_datetime, PULocationID, DOLocationID"
 _VALUES = "passenger_count, trip_distance, RatecodeID, store_and_fwd_flag, payment_type, fare_amount, extra, mta_tax, tip_amount, tolls_amount, improvement_surcharge, total_amount, congestion_surcharge, airport_fee, cbd_congestion_fee"
@@ -240,6 +250,15 @@ WITH r AS (SELECT trip_bk, dbt_valid_from f, fare_amount a FROM snp_yellow_trips
   QUALIFY row_number() OVER (PARTITION BY trip_bk, dbt_valid_from ORDER BY _loaded_at DESC NULLS LAST, fare_amount DESC NULLS LAST) = 1),
 v AS (SELECT * FROM r WINDOW w AS (PARTITION BY trip_bk ORDER BY f) QUALIFY row_number() OVER w = 1 OR a IS DISTINCT FROM lag(a) OVER w)
 SELECT trip_bk, 'fare_amount' AS attribute, a AS value, f AS valid_from, lead(f) OVER (PARTITION BY trip_bk ORDER BY f) AS valid_to FROM v""",
+    "p6_two_sources": f"""
+WITH r AS (SELECT trip_bk, dbt_valid_from f, fare_amount a FROM snp_yellow_trips WHERE trip_bk IS NOT NULL AND dbt_valid_from IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY trip_bk, dbt_valid_from ORDER BY _loaded_at DESC NULLS LAST, fare_amount DESC NULLS LAST) = 1),
+q AS (SELECT {_BK} k, (_loaded_at AT TIME ZONE 'UTC') f, tip_amount a, row_number() OVER (PARTITION BY {_BK}, _loaded_at ORDER BY _ingest_batch_id DESC NULLS LAST, _row_id) n FROM yellow_tripdata WHERE _loaded_at IS NOT NULL),
+e AS (SELECT trip_bk k, f, a fa, NULL ta, 1 s FROM r UNION ALL SELECT k, f, NULL, a, 2 FROM q WHERE n = 1),
+b AS (SELECT DISTINCT k, f FROM e),
+v AS (SELECT b.k, b.f, x.fa, y.ta FROM b ASOF LEFT JOIN (SELECT k, f, fa FROM e WHERE s = 1) x ON x.k = b.k AND x.f <= b.f ASOF LEFT JOIN (SELECT k, f, ta FROM e WHERE s = 2) y ON y.k = b.k AND y.f <= b.f),
+c AS (SELECT * FROM v WINDOW w AS (PARTITION BY k ORDER BY f) QUALIFY row_number() OVER w = 1 OR fa IS DISTINCT FROM lag(fa) OVER w OR ta IS DISTINCT FROM lag(ta) OVER w)
+SELECT k AS trip_bk, fa AS fare_amount, ta AS tip_amount, f AS valid_from, lead(f) OVER (PARTITION BY k ORDER BY f) AS valid_to FROM c""",
     "p7_unplaced": r"SELECT DISTINCT filename FROM raw_file_columns WHERE filename IS NOT NULL AND NOT regexp_matches(filename, '(^|[^0-9])[0-9]{4}-(0[1-9]|1[0-2])([^0-9]|$)')",
     "p7_records": _P7 + f"""SELECT filename, row_no, {", ".join(_FIELDS)}, CASE WHEN gone THEN NULL WHEN NOT json_valid(p) THEN '{{"_broken":' || to_json(p) || '}}' WHEN rest IS NOT NULL THEN '{{' || rest || '}}' END AS _rescued
 FROM one LEFT JOIN g USING (filename, row_no)""",
