@@ -51,7 +51,7 @@ def filled(cols: list[str]) -> Column:
 
 def bare_name(c: Column) -> Column:
     """A file's name without directory, outer blanks and letter case."""
-    return F.lower(F.trim(F.regexp_extract(c, r"([^/\\]*)$", 1)))
+    return F.lower(F.trim(F.substring_index(F.substring_index(c, "/", -1), "\\", -1)))
 
 
 def bare_etag(c: Column) -> Column:

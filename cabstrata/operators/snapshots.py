@@ -14,10 +14,12 @@ from cabstrata.operators.sizing import lookup_join
 from cabstrata.session import materialize
 
 
-def snapshot_sequence(df: DataFrame, scope: list[str], order: str) -> DataFrame:
-    """One row per snapshot (scope, order) with the one before and after it in its scope."""
+def snapshot_sequence(rows: DataFrame, scope: list[str], order: str) -> DataFrame:
+    """(scope, order, _sid, _prev, _next): one row per snapshot, numbered, with the numbers of the one before
+    and after it in its scope. The list is written once: it is a pass over these columns only."""
+    listed = materialize(rows.select(*scope, order).distinct().withColumn("_sid", F.monotonically_increasing_id()), "snapshots")
     w = Window.partitionBy(*(scope or [F.lit(0)])).orderBy(order)
-    return df.select(*scope, order).distinct().withColumns({"_prev": F.lag(order).over(w), "_next": F.lead(order).over(w)})
+    return listed.withColumns({"_prev": F.lag("_sid").over(w), "_next": F.lead("_sid").over(w)})
 
 
 def snapshot_diff(rows: DataFrame, scope: list[str], order: str, key: str, hashed: list[str], prefer: Column) -> DataFrame:
@@ -28,22 +30,22 @@ def snapshot_diff(rows: DataFrame, scope: list[str], order: str, key: str, hashe
     order or key belong to no snapshot and are left out. The first snapshot of a scope has nothing to
     be compared with. The list of snapshots is broadcast only if its measured size allows it.
 
-    The list of snapshots (a pass over their two columns) and the folded state are written once, so that
-    the wide columns are read and folded once for both sides of the join. Snapshots without a neighbour
-    fall out before anything is shuffled.
+    Rows carry the snapshot's number instead of its names, snapshots without a neighbour fall out before
+    anything is shuffled, and the folded state is written once, so that the wide columns are read and folded
+    once for both sides of the join.
     """
     rows = rows.where(" and ".join(f"`{c}` is not null" for c in [*scope, order, key]))
     h = F.struct(row_hash(hashed, 1).alias("a"), row_hash(hashed, 2).alias("b"))
-    seq = materialize(snapshot_sequence(rows, scope, order).where("_prev is not null or _next is not null"), "snapshots")
+    seq = snapshot_sequence(rows, scope, order)
     slim = rows.select(key, *scope, order, F.struct(prefer.alias("p"), h.alias("h")).alias("_r"))
-    placed = lookup_join(slim, seq.select(*scope, order, "_prev", "_next"), [*scope, order], salt_on=[key])
-    by = [key, *scope, order]
-    folded = placed.groupBy(*by).agg(F.max("_r").getField("h").alias("h"), F.first("_prev").alias("_prev"), F.first("_next").alias("_next"))
+    placed = lookup_join(slim, seq.where("_prev is not null or _next is not null"), [*scope, order], salt_on=[key])
+    folded = placed.groupBy(key, "_sid").agg(F.max("_r").getField("h").alias("h"), F.first("_prev").alias("_prev"), F.first("_next").alias("_next"))
     one = materialize(folded, "snapshot-state")
-    now = one.where("_prev is not null").select(*by, F.col("h").alias("_now"))
-    old = one.where("_next is not null").select(key, *scope, F.col("_next").alias(order), F.col("h").alias("_old"))
+    now = one.where("_prev is not null").select(key, "_sid", F.col("h").alias("_now"))
+    old = one.where("_next is not null").select(key, F.col("_next").alias("_sid"), F.col("h").alias("_old"))
     change = F.when(F.col("_old").isNull(), "added").when(F.col("_now").isNull(), "removed").when(F.col("_old") != F.col("_now"), "changed")
-    return now.join(old, by, "full_outer").withColumn("change", change).where("change is not null").select(*by, "change")
+    changed = now.join(old, [key, "_sid"], "full_outer").withColumn("change", change).where("change is not null")
+    return lookup_join(changed, seq.select(*scope, order, "_sid"), ["_sid"], salt_on=[key]).select(key, *scope, order, "change")
 
 
 def file_changes(fingerprints: DataFrame) -> DataFrame:
