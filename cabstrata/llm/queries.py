@@ -63,14 +63,20 @@ def p2_survivors(spark: SparkSession, d: str) -> DataFrame:
     choices are looked up by the rows, salted, so that a trip of any size is spread over tasks."""
     chosen = materialize(fusion.preferred(_trips(spark, d), "trip", "_row_id", _PREFER, "fare_amount").select(F.col("grp").alias("trip"), "survivor_row_id", "value"), "survivors")
     rows = load(spark, d, "yellow_tripdata").withColumn("trip", F.unhex(trip_key()))
-    one = lookup_join(rows, chosen, ["trip"], salt_on=["_row_id"], how="left", salts=8).where("survivor_row_id is null or survivor_row_id = _row_id")
+    one = lookup_join(rows, chosen, ["trip"], salt_on=["_row_id"], how="left").where("survivor_row_id is null or survivor_row_id = _row_id")
     return one.select("_row_id", *TRIP_IDS, *[F.coalesce("fare_amount", "value").alias(c) if c == "fare_amount" else c for c in TRIP_VALUES], "_source_filename", "_ingest_batch_id", "_loaded_at")
 
 
-def _by_each(df: DataFrame, measures: dict[str, str], dimensions: dict[str, Column]) -> DataFrame:
-    """The state of every measure by every dimension, (measure, dimension, grp, value, n), in one pass."""
-    cells = [F.struct(F.lit(m).alias("measure"), F.lit(k).alias("dimension"), g.cast("string").alias("grp"), F.col(c).cast("double").alias("v")) for m, c in measures.items() for k, g in dimensions.items()]
-    return percentiles.frequency_state(df.select(F.explode(F.array(*cells)).alias("c")).select("c.*"), ["measure", "dimension", "grp"], "v")
+#: What p3_percentiles has of each table: measure -> dimensions.
+_TRIP_CELLS = [("trip_duration_min", k) for k in ("zone", "hour", "month")]
+_LOAD_CELLS = [(m, k) for m in ("total_amount", "trip_distance") for k in ("zone", "hour", "month", "load")]
+
+
+def _by_each(df: DataFrame, cells: list[tuple[str, str]], dimensions: dict[str, Column], first: int) -> DataFrame:
+    """The state of every measure by every dimension, (cell, grp, value, n), in one pass; a cell is the number of
+    a measure and dimension, from `first`."""
+    own = [F.struct(F.lit(first + i).alias("cell"), dimensions[k].cast("string").alias("grp"), F.col(m).cast("double").alias("v")) for i, (m, k) in enumerate(cells)]
+    return percentiles.frequency_state(df.select(F.explode(F.array(*own)).alias("c")).select("c.*"), ["cell", "grp"], "v")
 
 
 def p3_percentiles(spark: SparkSession, d: str) -> DataFrame:
@@ -78,12 +84,12 @@ def p3_percentiles(spark: SparkSession, d: str) -> DataFrame:
     of both tables are put together and read at once."""
     trips, bronze = load(spark, d, "int_trips_enriched"), load(spark, d, "yellow_tripdata")
     pick = F.col("tpep_pickup_datetime")
-    a = _by_each(trips, {"trip_duration_min": "trip_duration_min"}, {"zone": F.col("pu_location_id"), "hour": F.col("pickup_hour"), "month": F.date_format("pickup_date", "yyyy-MM")})
-    b = _by_each(
-        bronze, {"total_amount": "total_amount", "trip_distance": "trip_distance"}, {"zone": F.col("PULocationID"), "hour": F.hour(pick), "month": F.substring(pick.cast("string"), 1, 7), "load": F.col("_ingest_batch_id")}
-    )
-    groups = ["measure", "dimension", "grp"]
-    return percentiles.percentiles(percentiles.merge_states(a.unionByName(b), groups), groups, QUANTILES)
+    a = _by_each(trips, _TRIP_CELLS, {"zone": F.col("pu_location_id"), "hour": F.col("pickup_hour"), "month": F.date_format("pickup_date", "yyyy-MM")}, 0)
+    b = _by_each(bronze, _LOAD_CELLS, {"zone": F.col("PULocationID"), "hour": F.hour(pick), "month": F.substring(pick.cast("string"), 1, 7), "load": F.col("_ingest_batch_id")}, len(_TRIP_CELLS))
+    # No two cells of the tables are the same: their states need no adding up.
+    out = percentiles.percentiles(a.unionByName(b), ["cell", "grp"], QUANTILES)
+    names = F.array(*[F.struct(F.lit(m).alias("measure"), F.lit(k).alias("dimension")) for m, k in [*_TRIP_CELLS, *_LOAD_CELLS]])
+    return out.withColumn("c", F.get(names, F.col("cell"))).select("c.*", *[x for x in out.columns if x != "cell"])
 
 
 def p3_duration_by_zone(spark: SparkSession, d: str) -> DataFrame:
