@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cabstrata.operators.sizing import lookup_join
+from cabstrata.session import materialize
 
 # Code points that show nothing wherever they stand. Line breaks and tabs aren't among them.
 NOTHING = (
@@ -242,7 +243,8 @@ def look_classes(forms: DataFrame, key: str) -> DataFrame:
 def document_classes(forms: DataFrame, key: str) -> DataFrame:
     """(key, class_id): every document with the smallest key of those that look like it. A null, empty or
     all-blank text is in no class (null). forms is read twice: hand it over materialized."""
-    return lookup_join(forms.select(key, "form"), look_classes(forms, key).select("form", "class_id"), ["form"], salt_on=[key], how="left").select(key, "class_id")
+    classes = materialize(look_classes(forms, key).select("form", "class_id"), "look-classes")
+    return lookup_join(forms.select(key, "form"), classes, ["form"], salt_on=[key], how="left").select(key, "class_id")
 
 
 def lookalike_pairs(forms: DataFrame, key: str) -> DataFrame:
@@ -251,7 +253,7 @@ def lookalike_pairs(forms: DataFrame, key: str) -> DataFrame:
     into as many salts as it has thousands of documents, so that a task pairs a thousand of them with the
     others, however large the class. forms is read several times: hand it over materialized."""
     salts = F.ceil(F.col("n_documents") / PAIRED_AT_ONCE).cast("int")
-    several = look_classes(forms, key).where("n_texts > 1").select("form", salts.alias("_salts"))
+    several = materialize(look_classes(forms, key).where("n_texts > 1").select("form", salts.alias("_salts")), "look-classes")
     members = lookup_join(forms.where("form is not null"), several, ["form"], salt_on=[key])
     a = members.select(F.col(key).alias(f"{key}_a"), F.col("form"), F.col("raw").alias("_ra"), F.pmod(F.xxhash64(key), F.col("_salts")).cast("int").alias("_salt"))
     b = members.select(F.col(key).alias(f"{key}_b"), F.col("form"), F.col("raw").alias("_rb"), F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)).alias("_salt"))

@@ -101,7 +101,7 @@ def sized_documents(documents: DataFrame, targets: DataFrame, path: str | None =
     keyed = known.select("doc_id", "source", F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("text_key"), "text")
     sizes = materialize(count_tokens(keyed, ["doc_id", "source", "text_key"], "text", path), "mix-sizes")
     shared = sizes.groupBy("text_key").agg(F.array_join(F.array_sort(F.collect_set("source")), "|").alias("pattern"), F.count_distinct("source").alias("k")).where("k > 1").select("text_key", "pattern")
-    joined = lookup_join(sizes, shared, ["text_key"], salt_on=["doc_id"], how="left")
+    joined = lookup_join(sizes, materialize(shared, "mix-shared"), ["text_key"], salt_on=["doc_id"], how="left")
     return materialize(joined.withColumn("pattern", F.coalesce("pattern", "source")), "mix-documents")
 
 
@@ -133,7 +133,7 @@ def select_mix(sized: DataFrame, targets: dict[str, tuple[float, int]], seed: in
     sums = docs.groupBy(*by, "_range").agg(F.sum("n_tokens").alias("_t"))
     before = sums.withColumn("_before", F.sum("_t").over(Window.partitionBy(*by).orderBy("_range")) - F.col("_t")).drop("_t")
     inside = F.sum("n_tokens").over(Window.partitionBy(*by, "_range").orderBy("_h", "doc_id").rowsBetween(Window.unboundedPreceding, 0))
-    placed = lookup_join(docs, before, [*by, "_range"], salt_on=["doc_id"]).withColumn("_cum", inside + F.col("_before"))
+    placed = lookup_join(docs, materialize(before, "mix-offsets"), [*by, "_range"], salt_on=["doc_id"]).withColumn("_cum", inside + F.col("_before"))
     repeats = F.col("full") + F.when((F.col("rest") > 0) & (F.col("_cum") - F.col("n_tokens") / 2 <= F.col("rest")), 1).otherwise(0)
     return placed.select("doc_id", "source", "n_tokens", repeats.cast("int").alias("repeats")).where("repeats > 0")
 
