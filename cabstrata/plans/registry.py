@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cabstrata.plans import problems, trips, twins
+from cabstrata.plans import problems, stored, trips, twins
 
-QUERIES = {**trips.QUERIES, **problems.QUERIES}
-SQL = {**twins.SQL, **problems.SQL}
+QUERIES = {**trips.QUERIES, **problems.QUERIES, **stored.QUERIES}
+SQL = {**twins.SQL, **problems.SQL, **stored.SQL}

@@ -6,12 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cabstrata.functions.keys import bare_etag, bare_name, trip_key
-from cabstrata.functions.scalars import exact_sum
 from cabstrata.operators import classify, dedupe, dq, enrich, scd2, upsert
 from cabstrata.plans import consumer, historical, marts, pipeline, staging
-from cabstrata.session import load, shared_path
-from cabstrata.sources import bronze
-from cabstrata.sources.tables import NONE, SEP, Lake
+from cabstrata.session import load
 
 #: The year of most queries; even the smallest test tables hold the revenue year.
 YEAR, REVENUE_YEAR = 2025, 2024
@@ -267,87 +264,6 @@ def pending_rebuilds(s, d):
     return dq.reconcile_all(f, pipeline.monthly_marts(lambda m: made[m](old)), ["pickup_year", "pickup_month"])
 
 
-# The same over stored tables: two deliveries into a lake in the shared folder, each built and published.
-
-
-def read_raw_files(s, d):
-    """All raw rows through two raw files that disagree: one has times as microseconds, other letter cases and
-    types, and lacks a column."""
-    rows = _bronze(s, d).select(*[c for c, _ in bronze.SOURCE])
-    odd, at = F.coalesce(F.pmod("PULocationID", F.lit(2)), F.lit(0)) == 1, shared_path(s, "raw-files")
-    micros = lambda c: F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col(c))
-    changed = {"tpep_pickup_datetime": micros("tpep_pickup_datetime"), "tpep_dropoff_datetime": micros("tpep_dropoff_datetime"), "VendorID": F.col("VendorID").cast("bigint"), "payment_type": F.col("payment_type").cast("double")}
-    rows.where(odd).withColumns(changed).drop("cbd_congestion_fee").withColumnsRenamed({"trip_distance": "Trip_Distance", "VendorID": "VENDORID"}).write.parquet(f"{at}/a")
-    rows.where(~odd).write.parquet(f"{at}/b")
-    return bronze.read_all(s, [f"{at}/a", f"{at}/b"]).drop("_source_filename")
-
-
-def _two_deliveries(s, d, build=False):
-    lake = Lake(s, shared_path(s, "lake"))
-    rows, zones = _bronze(s, d), load(s, d, "dim_zones")
-    first = F.coalesce(F.col("_ingest_batch_id") < CUT, F.lit(False))
-    for part, at in ((rows.where(first), FIRST_RUN), (rows.where(~first), SECOND_RUN)):
-        before = {k: len(v) for k, v in lake.part_directories(pipeline.RAW, "yellow_tripdata").items()}
-        pipeline.append_rows(lake, part)
-        after = lake.part_directories(pipeline.RAW, "yellow_tripdata")
-        months = {k.split(SEP)[1] for k, v in after.items() if len(v) != before.get(k, 0)} | {NONE}
-        pipeline.apply_snapshot(lake, at, months)
-        if build:
-            pipeline.build_marts(lake, zones, months)
-            lake.swap(pipeline.PUBLISHED, pipeline.BUILD)
-    return lake
-
-
-def lake_versions(s, d):
-    return _two_deliveries(s, d).read(pipeline.SNAPSHOTS, "trips").select("trip_bk", "fare_amount", "payment_type", "valid_from", "valid_to")
-
-
-def lake_facts(s, d):
-    f = _two_deliveries(s, d, True).read(pipeline.PUBLISHED, "fct_trips")
-    return f.select("trip_bk", "pickup_ts", "pickup_dow", F.round(F.col("trip_duration_min") * 60).cast("bigint").alias("duration_sec"), "total_amount", "pu_zone", "do_zone", "pu_borough", "do_service_zone")
-
-
-def lake_marts(s, d):
-    """The published yearly marts side by side: their keys, trips and money."""
-    lake = _two_deliveries(s, d, True)
-    r, t, g = (lake.read(pipeline.PUBLISHED, f"agg_zone_{m}_yearly") for m in ("revenue", "tip_behaviour", "supply_gaps"))
-    parts = (
-        r.select(F.lit("revenue").alias("mart"), "pickup_year", "pu_location_id", F.col("trip_count").alias("n"), F.col("yearly_gross_revenue").alias("amount")),
-        t.groupBy(F.lit("tips").alias("mart"), "pickup_year", "pu_location_id").agg(F.sum("trip_count").alias("n"), exact_sum(F.col("total_tip_amount")).alias("amount")),
-        g.select(F.lit("gaps").alias("mart"), "pickup_year", "pu_location_id", F.col("total_trips").alias("n"), F.col("longest_gap_min_year").cast("double").alias("amount")),
-    )
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
-
-
-def lake_quarantine(s, d):
-    return consumer.quarantine_share(_two_deliveries(s, d, True).read(pipeline.PUBLISHED, "fct_trips_quarantined"))
-
-
-def lake_pending(s, d):
-    """After both deliveries are published nothing is to be built again."""
-    return pipeline.pending_rebuilds(_two_deliveries(s, d, True))
-
-
-def lake_fingerprints(s, d):
-    """The table of fingerprints after an upsert of the state before the newest snapshot, and one of that."""
-    f = load(s, d, "source_fingerprints").select("snapshot_id", bare_name(F.col("filename")).alias("filename"), bare_etag(F.col("etag")).alias("etag"), "recorded_at").where("filename is not null and snapshot_id is not null")
-    newest = f.select(F.max("snapshot_id").alias("m")).scalar()
-    lake = Lake(s, shared_path(s, "lake"))
-    for part in (f.where(F.col("snapshot_id") < newest), f.where(F.col("snapshot_id") == newest)):
-        one = part.groupBy("filename").agg(F.max(F.struct("snapshot_id", "recorded_at", "etag")).alias("s")).select("filename", "s.*")
-        lake.upsert(pipeline.RAW, "source_fingerprints", one, ["filename"])
-    return lake.read(pipeline.RAW, "source_fingerprints").select("filename", "snapshot_id", "etag")
-
-
-def lake_history(s, d):
-    """The historical table of days after a year was replaced: all loads first, then that year from all loads
-    again. A year replaced by the same trips changes nothing."""
-    lake, all_days = Lake(s, shared_path(s, "lake")), marts.daily_aggregate(historical.historical_trips(_bronze(s, d)))
-    lake.replace(pipeline.HISTORICAL, "daily_agg", all_days, (), by=[pipeline.MONTH.format("pickup_date")])
-    lake.replace(pipeline.HISTORICAL, "daily_agg", daily_agg_of_a_year(s, d), lambda k: k.startswith(f"{YEAR}-"), strict=True, sync=True)
-    return lake.read(pipeline.HISTORICAL, "daily_agg")
-
-
 def dq_not_null(s, d):
     return dq.not_null(_bronze(s, d), "_loaded_at").select("_row_id")
 
@@ -403,7 +319,7 @@ QUERIES = {
         surrogate_key, classify_rows, classify_repeats, fact_trips, quarantine_rows, quarantine_share, quarantine_coverage, month_scope_with_undated, enrich_role_playing,
         daily_agg_historical, daily_agg_of_a_year, tip_behaviour_historical, supply_gaps_historical, union_priority_q1, union_priority_q2, union_priority_q3,
         union_priority_q4, scd2_versions, scd2_current, scd2_health, merge_upsert, delete_insert_scope, replace_scope, partition_replace, bronze_load_audit,
-        coverage_by_month, top_zones, month_over_month_anomalies, fact_mart_reconciliation, pending_rebuilds, read_raw_files, lake_versions, lake_facts, lake_marts, lake_quarantine, lake_pending, lake_fingerprints, lake_history, dq_not_null, dq_duplicate_keys, dq_unique_combination, dq_accepted_values,
+        coverage_by_month, top_zones, month_over_month_anomalies, fact_mart_reconciliation, pending_rebuilds, dq_not_null, dq_duplicate_keys, dq_unique_combination, dq_accepted_values,
         dq_orphans, dq_out_of_range, dq_duration_sane, dq_one_current, source_freshness, fingerprint_state,
     )
 }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
@@ -42,16 +43,19 @@ def copy(spark: SparkSession, src: str, dst: str, tries: int = 3, wait: float =
     raise AssertionError
 
 
-def ingest_missing(spark: SparkSession, months: list[Month], origin: str, mirror: str, force: bool = False) -> list[str]:
-    """Mirrors the months' files that aren't there yet (all of them with force). Returns the new paths;
-    months that aren't published are passed over."""
-    new = []
-    for m in months:
+def ingest_missing(spark: SparkSession, months: list[Month], origin: str, mirror: str, force: bool = False, at_once: int = 8) -> list[str]:
+    """Mirrors the months' files that aren't there yet (all of them with force), several at once. Returns
+    the new paths in the order of the months; months that aren't published are passed over."""
+
+    def one(m: Month) -> str | None:
         target = f"{mirror}/{m.filename}"
         if (force or not exists(spark, target)) and is_published(spark, origin, m):
             copy(spark, f"{origin}/{m.filename}", target)
-            new.append(target)
-    return new
+            return target
+        return None
+
+    with ThreadPoolExecutor(at_once) as pool:
+        return [p for p in pool.map(one, months) if p]
 
 
 def fingerprint(spark: SparkSession, path: str) -> tuple[str, str, int] | None:
