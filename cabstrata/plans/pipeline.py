@@ -6,8 +6,8 @@ record the file's fingerprint. A failing step leaves the published tables as the
 
 Everything is done by month of pickup. The raw table is partitioned by file and month, so the months a
 file touches, before and after a correction, are read from the pointer file; history, facts, rows set
-aside and marts of other months are neither read nor written. Months whose marts are still to be
-published are noted with the load itself, so a run that failed is made up for by the next.
+aside and marts of other months are neither read nor written. Months that lose rows to a correction are
+noted in the step that takes them, until they are published: the next good run makes up for one that failed.
 """
 
 from __future__ import annotations

@@ -3,9 +3,10 @@ the shared folder."""
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cabstrata.functions.keys import bare_etag, bare_name
@@ -154,7 +155,7 @@ def stream_loads(s, d):
 
 def stream_hours(s, d):
     """Trips and money per hour and zone, counted by the stream as files come."""
-    at, name = _as_files(s, d), f"hours_{abs(hash(d)) % 10**8}_{id(s) % 10**6}"
+    at, name = _as_files(s, d), f"hours_{uuid.uuid4().hex}"
     q = hourly_counts(stream_files(s, f"{at}/in")).writeStream.format("memory").queryName(name).outputMode("complete").option("checkpointLocation", f"{at}/hours").trigger(availableNow=True).start()
     q.awaitTermination()
     return s.table(name).select(F.col("window.start").cast("timestamp_ntz").alias("hour"), "PULocationID", "trip_count", F.col("gross_revenue").cast("decimal(38,4)").alias("gross_revenue"))

@@ -53,7 +53,7 @@ class Lake:
 
     def _load(self) -> dict:
         if not self._fs.exists(self._pointer):
-            return {"schemas": {}, "pending": {}}
+            return {"schemas": {}, "pending": {}, "streams": {}}
         s = self._fs.open(self._pointer)
         try:
             return json.loads(bytes(s.readAllBytes()).decode())
@@ -159,15 +159,22 @@ class Lake:
         return self.read(schema, table)
 
     def append(self, schema: str, table: str, df: DataFrame) -> DataFrame:
-        if not self.exists(schema, table):
-            return self.write(schema, table, df)
         return self.replace(schema, table, df, ())
 
-    def replace(self, schema: str, table: str, df: DataFrame, keys: Keys, by: list[str] | None = None, sort_by: list[str] | None = None, pending: dict[str, set[str]] | None = None, strict: bool = False, sync: bool = False) -> DataFrame:
+    def append_once(self, schema: str, table: str, df: DataFrame, stream: str, number: int) -> bool:
+        """Appends the batch of a stream unless one of that number or a later one is in already; says whether it
+        did. The number is kept in the pointer file, in the same step as the rows: no table is searched."""
+        if self._load()["streams"].get(stream, -1) >= number:
+            return False
+        self.replace(schema, table, df, (), stream=(stream, number))
+        return True
+
+    def replace(self, schema: str, table: str, df: DataFrame, keys: Keys, by: list[str] | None = None, sort_by: list[str] | None = None, pending: dict[str, set[str]] | None = None, strict: bool = False, sync: bool = False, stream: tuple[str, int] | None = None) -> DataFrame:
         """The partitions of these keys are let go and df's rows added, in one step; a first run writes df
         by `by`. Other partitions are neither read nor written. strict: rows outside the keys are an
         error. sync: the table's columns become df's (a new one is null in other partitions, a missing one
-        is dropped); otherwise they only grow. pending is noted in the same step."""
+        is dropped); otherwise they only grow. pending and the stream's last batch are noted in the same
+        step."""
         old = self._table(schema, table) if self.exists(schema, table) else {"columns": self._columns(df), "by": by or [], "sort_by": sort_by or [], "parts": {}}
         ok = _chosen(keys)
         new = self._write(schema, table, df, old["by"], old["sort_by"])
@@ -183,6 +190,8 @@ class Lake:
         state["schemas"].setdefault(schema, {})[table] = entry
         for name, values in (pending or {}).items():
             state["pending"][name] = sorted({*state["pending"].get(name, []), *values})
+        if stream:
+            state["streams"][stream[0]] = stream[1]
         self._store(state)
         return self.read(schema, table)
 

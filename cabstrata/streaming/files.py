@@ -39,11 +39,10 @@ def append_available(spark: SparkSession, lake: Lake, schema: str, table: str, f
     done = []
 
     def write(df: DataFrame, epoch: int) -> None:
-        batch = f"stream-{checkpoint_id(spark, checkpoint)}-{epoch:09d}"
-        if lake.exists(schema, table) and lake.read(schema, table).where(F.col("_ingest_batch_id") == batch).head(1):
-            return
-        lake.append(schema, table, df.select("*", F.lit(batch).alias("_ingest_batch_id"), F.lit(loaded_by).alias("_loaded_by"), F.current_timestamp().alias("_loaded_at")))
-        done.append(epoch)
+        stream = f"stream-{checkpoint_id(spark, checkpoint)}"
+        rows = df.select("*", F.lit(f"{stream}-{epoch:09d}").alias("_ingest_batch_id"), F.lit(loaded_by).alias("_loaded_by"), F.current_timestamp().alias("_loaded_at"))
+        if lake.append_once(schema, table, rows, stream, epoch):
+            done.append(epoch)
 
     q = stream_files(spark, folder).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
