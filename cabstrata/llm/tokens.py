@@ -164,20 +164,25 @@ def vocabulary(path: str) -> Vocabulary:
 
 
 class Encoder:
-    """Encodes batches of texts, keeping the pieces met so far."""
+    """Encodes batches of texts, keeping the pieces met so far, each as the bytes of its ids."""
 
     def __init__(self, path: str):
         self.vocab, self.known = vocabulary(path), {}
 
-    def __call__(self, texts: list[str | None]) -> list[list[int]]:
+    def packed(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each text as bytes of int32; equal texts are encoded once."""
         once = {t: self.vocab.split.findall(t) if t else [] for t in dict.fromkeys(texts)}
-        fresh = list({p for s in once.values() for p in s}.difference(self.known))
+        every = set().union(*once.values())
+        fresh = list(every.difference(self.known))
         if len(self.known) + len(fresh) > KEPT_PIECES:
-            self.known, fresh = {}, list({p for s in once.values() for p in s})
-        self.known.update(zip(fresh, (x.tolist() for x in self.vocab.encode_pieces(fresh)), strict=True))
-        ids = {t: [i for p in s for i in self.known[p]] for t, s in once.items()}
+            self.known, fresh = {}, list(every)
+        self.known.update(zip(fresh, (x.tobytes() for x in self.vocab.encode_pieces(fresh)), strict=True))
+        ids = {t: b"".join(map(self.known.__getitem__, s)) for t, s in once.items()}
         return [ids[t] for t in texts]
 
+    def __call__(self, texts: list[str | None]) -> list[list[int]]:
+        return [np.frombuffer(x, np.int32).tolist() for x in self.packed(texts)]
+
 
 def vocabulary_path(name: str = "byte_bpe_50k", folder: str | None = None) -> str:
     return os.path.join(folder or DEFAULT_DIR, f"{name}.json")
@@ -192,10 +197,10 @@ def encode(df: DataFrame, key: str, text: str, path: str | None = None) -> DataF
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = Encoder(path)
         for b in batches:
-            ids = e(b.column(1).to_pylist())
-            ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
-            values = pa.array(np.fromiter((i for x in ids for i in x), np.int32, int(ends[-1])))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(pa.array(ends), values)], [key, "ids"])
+            ids = e.packed(b.column(1).to_pylist())
+            ends = np.cumsum([0, *map(len, ids)]) // 4
+            values = pa.array(np.frombuffer(b"".join(ids), np.int32))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), values)], [key, "ids"])
 
     return df.select(key, text).mapInArrow(run, f"`{key}` {dict(df.dtypes)[key]}, ids array<int>")
 
@@ -207,7 +212,7 @@ def count_tokens(df: DataFrame, keys: list[str], text: str, path: str | None = N
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = Encoder(path)
         for b in batches:
-            sizes = pa.array([len(x) for x in e(b.column(len(keys)).to_pylist())], pa.int64())
+            sizes = pa.array([len(x) // 4 for x in e.packed(b.column(len(keys)).to_pylist())], pa.int64())
             yield pa.RecordBatch.from_arrays([*[b.column(i) for i in range(len(keys))], sizes], [*keys, "n_tokens"])
 
     kinds = dict(df.dtypes)
