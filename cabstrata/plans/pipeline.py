@@ -147,14 +147,15 @@ def build_checks(tolerance: float = 0.40, least: int = 10_000) -> list[dq.Check
 
 def checked_tables(lake: Lake, zones: DataFrame, months: set[str]) -> dict:
     """What the tests read: of facts, history and marts the months just built, as the others were tested
-    when they were; the counts by month from the mart, which a test holds against the facts."""
+    when they were; the counts by month from the mart, which a test holds against the facts; of the raw table what was loaded
+    last, as that has the latest load time."""
     years = {m.split("-")[0] for m in months}
 
     def scope(table: str):
         return (lambda k: k in years) if table.endswith("_yearly") else (lambda k: k in months)
 
     tables = {t: lake.read(BUILD, t, scope(t)) for t in lake.tables(BUILD)}
-    more = {"dim_zones": zones, "snapshot": lake.read(SNAPSHOTS, "trips", months), "all_months": lake.read(BUILD, "agg_hourly_demand_monthly"), "raw": lake.read(RAW, "yellow_tripdata"), "now": f"{date.today()} 00:00:00"}
+    more = {"dim_zones": zones, "snapshot": lake.read(SNAPSHOTS, "trips", months), "all_months": lake.read(BUILD, "agg_hourly_demand_monthly"), "raw": lake.read(RAW, "yellow_tripdata", lake.latest(RAW, "yellow_tripdata")), "now": f"{date.today()} 00:00:00"}
     return tables | more
 
 
@@ -194,16 +195,32 @@ def backfill(lake: Lake, origin: str, mirror: str, zones: DataFrame, first: str,
     return {str(m): run_month(lake, origin, mirror, zones, m, **more) for m in months_between(first, last)}
 
 
+# The historical tables as declared: partitioned by month of pickup, clustered by day and zone.
+HISTORICAL_TABLES = {
+    "daily_agg": "pickup_date date, pickup_hour int, pu_location_id int, payment_type int, trip_count bigint, gross_revenue double, total_fare double, total_tip double, total_distance_mi double, total_duration_sec bigint, distinct_vendors bigint",
+    "supply_gaps": "pickup_date date, pu_location_id int, trip_count bigint, longest_gap_min double, avg_gap_min double, gaps_gt_1h bigint, gaps_gt_3h bigint, first_pickup_ts timestamp_ntz, last_pickup_ts timestamp_ntz",
+    "tip_behaviour": "pickup_date date, pu_location_id int, distance_bucket string, payment_type int, trip_count bigint, total_fare double, total_tip double, total_distance_mi double",
+}
+
+
+def ensure_historical(lake: Lake) -> None:
+    """Creates the historical tables that aren't there yet, empty, with their declared columns."""
+    for name, columns in HISTORICAL_TABLES.items():
+        lake.ensure(HISTORICAL, name, lake.spark.createDataFrame([], columns), by=[MONTH.format("pickup_date")], sort_by=["pickup_date", "pu_location_id"])
+
+
 def run_year(lake: Lake, folder: str, year: int) -> list[tuple[str, str]]:
     """The three historical tables of a year, replaced as a whole: its months' partitions and no others.
     A year run twice changes nothing. Returns the files that couldn't be read, with the reason; months
     that aren't there are no files."""
     paths = [p for m in months_of_year(year) if files.exists(lake.spark, p := f"{folder}/{m.filename}")]
     rows, skipped = bronze.read_present(lake.spark, paths)
+    ensure_historical(lake)
     trips = historical.historical_trips(bronze.with_load(rows), year).cache()
     try:
         for name, df in historical.year_aggregates(trips).items():
-            lake.replace(HISTORICAL, name, df, lambda k: k.startswith(f"{year:04d}-"), by=[MONTH.format("pickup_date")], sort_by=["pickup_date", "pu_location_id"], strict=True, sync=True)
+            declared = lake.read(HISTORICAL, name).columns
+            lake.replace(HISTORICAL, name, df.select(*declared), lambda k: k.startswith(f"{year:04d}-"), strict=True)
     finally:
         trips.unpersist()
     return skipped

@@ -107,6 +107,24 @@ def month_pipeline(s, d):
     return lake.read(pipeline.PUBLISHED, "fct_trips").select("trip_bk", "pickup_month", "pu_zone", "do_zone", "source_filename")
 
 
+def year_job(s, d):
+    """The historical days of 2024 from that year's files, the year run twice."""
+    at, lake = shared_path(s, "files"), Lake(s, shared_path(s, "lake"))
+    for m in parse_months("2024"):
+        write_file(_month_rows(s, d, m), f"{at}/{m.filename}")
+    for _ in range(2):
+        pipeline.run_year(lake, at, 2024)
+    return lake.read(pipeline.HISTORICAL, "daily_agg")
+
+
+def year_job_gaps(s, d):
+    at, lake = shared_path(s, "files"), Lake(s, shared_path(s, "lake"))
+    for m in parse_months("2024"):
+        write_file(_month_rows(s, d, m), f"{at}/{m.filename}")
+    pipeline.run_year(lake, at, 2024)
+    return lake.read(pipeline.HISTORICAL, "supply_gaps")
+
+
 def table_operations(s, d):
     """Rows of a table and its copy after each of: write, clone, upsert of the copy, delete and insert, swap, drop."""
     lake, zones = Lake(s, shared_path(s, "lake")), load(s, d, "dim_zones").where("location_id is not null")
@@ -257,7 +275,7 @@ def lake_history(s, d):
 QUERIES = {
     f.__name__: f
     for f in (
-        month_parsing, run_targets, mirrored_files, drift_states, raw_provenance, read_raw_files, month_pipeline, table_operations, data_tests, stream_loads, stream_hours,
+        month_parsing, run_targets, mirrored_files, drift_states, raw_provenance, read_raw_files, month_pipeline, year_job, year_job_gaps, table_operations, data_tests, stream_loads, stream_hours,
         lake_versions, lake_facts, lake_marts, lake_quarantine, lake_pending, lake_fingerprints, lake_history,
     )
 }
@@ -269,7 +287,12 @@ _NAME = "'yellow_tripdata_' || strftime(tpep_pickup_datetime, '%Y-%m') || '.parq
 # Rows of a month's file have no load but the run's: the ladder's later steps alone decide between copies.
 _STAGED = twins.staged(f"SELECT {twins.BK} AS trip_bk, * FROM (SELECT * REPLACE ({_NAME} AS _source_filename) FROM yellow_tripdata WHERE {_IN_MONTHS}) QUALIFY row_number() OVER (PARTITION BY {twins.IDS} ORDER BY {twins.LADDER}) = 1")
 
+_YEAR_FILES = twins.staged(f"SELECT 'x' AS trip_bk, * FROM (SELECT * REPLACE ({_NAME} AS _source_filename) FROM yellow_tripdata WHERE year(tpep_pickup_datetime) = 2024) QUALIFY row_number() OVER (PARTITION BY {twins.IDS} ORDER BY {twins.LADDER}) = 1")
+_YEAR = f"WITH{_YEAR_FILES}, h AS (SELECT * FROM st WHERE invalid_reason IS NULL)"
+
 SQL = {
+    "year_job": f"{_YEAR}, {twins.DAGG} SELECT * FROM da",
+    "year_job_gaps": f"{_YEAR}, {twins.gaps('h', True, zones=False)} SELECT * FROM gd",
     "month_parsing": """WITH m AS (SELECT unnest(generate_series(DATE '2023-01-01', DATE '2024-02-01', INTERVAL 1 MONTH))::DATE AS d),
 x AS (SELECT '2023' AS asked, row_number() OVER (ORDER BY d) - 1 AS place, d FROM m WHERE year(d) = 2023 UNION ALL SELECT '2024-02', 0, DATE '2024-02-01'
   UNION ALL VALUES ('2023-11,2024-01,2023-11', 0, DATE '2023-11-01'), ('2023-11,2024-01,2023-11', 1, DATE '2024-01-01') UNION ALL SELECT '2023-11..2024-02', row_number() OVER (ORDER BY d) - 1, d FROM m WHERE d >= DATE '2023-11-01')

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import json
 import re
+import time
 import uuid
 from collections.abc import Callable, Iterable
 from urllib.parse import unquote
@@ -95,6 +96,17 @@ class Lake:
         """The directories of each partition; none if there is no such table."""
         return self._load()["schemas"].get(schema, {}).get(table, {"parts": {}})["parts"]
 
+    def latest(self, schema: str, table: str, most: int = 16) -> set[str]:
+        """The keys of the partitions written last, from the pointer file; those of one step belong together."""
+        written = self._table(schema, table).get("written", {})
+        steps = sorted(set(written.values()), reverse=True)
+        out: set[str] = set()
+        for t in steps:
+            out |= {k for k, x in written.items() if x == t}
+            if len(out) >= most:
+                break
+        return out
+
     def pending(self, name: str) -> set[str]:
         """What earlier runs have left to be done."""
         return set(self._load()["pending"].get(name, []))
@@ -154,7 +166,7 @@ class Lake:
         expressions of the partition; sort_by: columns by which files are clustered."""
         parts = self._write(schema, table, df, by or [], sort_by or [])
         state = self._load()
-        state["schemas"].setdefault(schema, {})[table] = {"columns": self._columns(df), "by": by or [], "sort_by": sort_by or [], "parts": {k: [d] for k, d in parts.items()}}
+        state["schemas"].setdefault(schema, {})[table] = {"columns": self._columns(df), "by": by or [], "sort_by": sort_by or [], "parts": {k: [d] for k, d in parts.items()}, "written": dict.fromkeys(parts, time.time())}
         self._store(state)
         return self.read(schema, table)
 
@@ -184,6 +196,8 @@ class Lake:
         for k, d in new.items():
             parts.setdefault(k, []).append(d)
         entry = old | {"columns": self._columns(df, None if sync else old), "parts": parts}
+        now = time.time()
+        entry["written"] = {k: t for k, t in old.get("written", {}).items() if k in parts} | dict.fromkeys(new, now)
         for k in new:
             parts[k] = self._compact(schema, table, entry, parts[k])
         state = self._load()

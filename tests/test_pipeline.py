@@ -257,6 +257,8 @@ def test_partitions(spark, place, monkeypatch):
     assert lake.read("x", "t", {"x"}).count() == 10 and len(lake._table("x", "t")["parts"]["x"]) <= 4
     assert len(lake._table("x", "t")["parts"]["a/b=c"]) == 1
     assert lake.vacuum() and lake.read("x", "t").count() == 12 and lake.vacuum() == []
+    lake.replace("x", "t", spark.createDataFrame([(7, "late", 0)], "i int, s string, n int"), ())
+    assert lake.latest("x", "t", 1) == {"late"} and lake.latest("x", "t") == lake.parts("x", "t")
     lake.write("x", "e", df.limit(0), by=["s"])
     assert lake.read("x", "e").count() == 0 and lake.read("x", "e").columns == ["i", "s"]
 
