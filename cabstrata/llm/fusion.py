@@ -47,6 +47,20 @@ def preferred(rows: DataFrame, group: str, row_id: str, prefer: list[str], value
     return g.select("grp", "n_rows", F.col("first_id").alias("group_row_id"), (-F.col("best.id")).alias("survivor_row_id"), F.coalesce(-F.col("known.id"), F.lit(-1).cast("bigint")).alias("value_row_id"), F.col("known.v").alias("value"))
 
 
+def survivors(rows: DataFrame, group: str, row_id: str, prefer: list[str], value: str, keep: list[str]) -> DataFrame:
+    """One row per group, single rows included: row_id, the columns keep of the first row in the order of
+    preference (see preferred), and value, filled from the first row in that order that knows it where the
+    survivor doesn't. Every row is sent at most once, none is looked up again, and a group of any size is a row
+    per task."""
+    rest = [c for c in keep if c not in (*prefer, row_id, value)]
+    order = [*[F.col(c).alias(f"p{i}") for i, c in enumerate(prefer)], (-F.col(row_id)).alias("id"), F.col(value).alias("v")]
+    whole = F.struct(*order, F.struct(F.lit(0).alias("_"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(rest)]).alias("r"))
+    g = rows.groupBy(F.col(group).alias("grp")).agg(F.max(whole).alias("best"), F.max(F.when(F.col(value).isNotNull(), F.struct(*order))).alias("known"))
+    held = {c: F.col(f"best.p{i}") for i, c in enumerate(prefer)} | {c: F.col(f"best.r.c{i}") for i, c in enumerate(rest)}
+    held |= {row_id: -F.col("best.id"), value: F.coalesce("best.v", "known.v")}
+    return g.select(*[held[c].alias(c) for c in dict.fromkeys([row_id, *keep])])
+
+
 def source_claims(rows: DataFrame, group: str, source: str, row_id: str, prefer: list[str], value: str) -> DataFrame:
     """(grp, src, best, known, first_id, n): a source's preferred row and, where that one's value is null,
     its preferred row with a known value. prefer: columns of which greater is better and null is least;

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from cabstrata.functions.keys import TRIP_IDS, TRIP_VALUES, filled, trip_key
 from cabstrata.llm import fusion, lookalike, mixing, percentiles, tokens
-from cabstrata.operators.sizing import lookup_join
 from cabstrata.session import load, materialize, shared_path
 
 QUANTILES = {"p50": "0.5", "p90": "0.9", "p99": "0.99"}
@@ -59,12 +58,10 @@ def p2_copiers(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p2_survivors(spark: SparkSession, d: str) -> DataFrame:
-    """Every trip once: the preferred row, its fare filled from the copies where it has none. The trips'
-    choices are looked up by the rows, salted, so that a trip of any size is spread over tasks."""
-    chosen = materialize(fusion.preferred(_trips(spark, d), "trip", "_row_id", _PREFER, "fare_amount").select(F.col("grp").alias("trip"), "survivor_row_id", "value"), "survivors")
-    rows = load(spark, d, "yellow_tripdata").withColumn("trip", F.unhex(trip_key()))
-    one = lookup_join(rows, chosen, ["trip"], salt_on=["_row_id"], how="left").where("survivor_row_id is null or survivor_row_id = _row_id")
-    return one.select("_row_id", *TRIP_IDS, *[F.coalesce("fare_amount", "value").alias(c) if c == "fare_amount" else c for c in TRIP_VALUES], "_source_filename", "_ingest_batch_id", "_loaded_at")
+    """Every trip once: the preferred row, its fare filled from the copies where it has none."""
+    columns = ["_row_id", *TRIP_IDS, *TRIP_VALUES, "_source_filename", "_ingest_batch_id", "_loaded_at"]
+    rows = load(spark, d, "yellow_tripdata").withColumns({"trip": F.unhex(trip_key()), "n_filled": filled([*TRIP_IDS, *TRIP_VALUES])})
+    return fusion.survivors(rows, "trip", "_row_id", _PREFER, "fare_amount", columns)
 
 
 #: What p3_percentiles has of each table: measure -> dimensions.

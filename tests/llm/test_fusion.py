@@ -47,6 +47,16 @@ def test_preferred_rows(spark, rows):
     assert {r.grp: (r.group_row_id, r.survivor_row_id, r.value_row_id, r.value, r.n_rows) for r in got} == brute(rows)
 
 
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(row, max_size=14))
+def test_survivors(spark, rows):
+    rows = [(i, *r) for i, r in enumerate(rows)]
+    got = fusion.survivors(clashing(spark, rows), "grp", "id", ["at", "load", "filled"], "fare", ["grp", "load", "fare", "src"]).collect()
+    want = brute(rows) | {r[1]: (r[0], r[0], 0, r[5], 1) for r in rows if sum(x[1] == r[1] for x in rows) == 1}
+    of = {r[0]: r for r in rows}
+    assert {r.grp: (r.id, r.load, r.fare, r.src) for r in got} == {g: (w[1], of[w[1]][2], of[w[1]][5] if of[w[1]][5] is not None else w[3], "clash") for g, w in want.items()} and len(got) == len(want)
+
+
 def modelled(rows, rounds=fusion.ROUNDS):
     """The model once more, in plain Python over single groups: (accuracy, dependence, posteriors)."""
     best = {}
